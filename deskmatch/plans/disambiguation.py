@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from deskmatch.functions.arrays import distinct_present, first, joined, or_empty, pick_ordered
 from deskmatch.functions.text import contains, manuscript_id_from_doi
-from deskmatch.operators.latest import latest_import
+from deskmatch.operators.latest import latest_import, newest_import_rows
 from deskmatch.operators.scale import spread_nulls
 
 # fixed values: points per matching trait of an author
@@ -174,7 +174,7 @@ def paper_details(
     ``dedupe`` keeps the newest import per editor and paper; without it each import of a paper counts.
     """
     if dedupe:
-        pubmed_ids = latest_import(pubmed_ids, ["person_id"])
+        pubmed_ids = newest_import_rows(pubmed_ids, ["person_id"])
         summaries = latest_import(summaries, ["pmid"], "doi")
     authors = paper_authors(summaries)
     candidates = author_candidates(enriched_editors(profiles, pubmed_ids, persons), authors)
@@ -269,7 +269,7 @@ def editor_publications(
     selected: DataFrame, links: DataFrame, pubmed_ids: DataFrame, summaries: DataFrame, doi_prefix: str
 ) -> DataFrame:
     """Selected papers with identifiers, date and where they came from: (person_id, publication_id, …)."""
-    newest_ids = latest_import(pubmed_ids, ["person_id"])
+    newest_ids = newest_import_rows(pubmed_ids, ["person_id"])
     papers = latest_import(summaries, ["pmid"], "doi").select("pmid", "doi", "firstPublicationDate")
 
     def listed(df, array, flag):
@@ -321,7 +321,7 @@ def coverage_counts(profiles: DataFrame, papers: DataFrame, links: DataFrame, pu
             "person_id", "left",
         )
         .join(
-            pubmed_ids.select("person_id", F.size("pubmed_ids").alias("retrieved_pubmed_id_count")),
+            pubmed_ids.groupBy("person_id").agg(F.sum(F.size("pubmed_ids")).alias("retrieved_pubmed_id_count")),
             "person_id", "left",
         )
     )
