@@ -10,10 +10,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan with fewer splits than cores is spread out by key; large inputs are left as they are."""
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as manuscripts: the source is the editor, the space-separated words are the keywords."""
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id"),
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"), "doc_id").select(
+        "doc_id",
         F.col("source").alias("name"),
         F.concat(F.lit("p-"), "source").alias("person_id"),
         F.split("text", " ").alias("keywords"),

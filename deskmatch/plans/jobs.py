@@ -165,9 +165,8 @@ def build_model(profiles: DataFrame, path: str) -> None:
 def recommend_editors(tables: Tables, path: str, role: str, as_of: Column, limit: int | None = None) -> int:
     """Replaces the role's recommendation table; both roles use the same list of manuscripts."""
     wanted = submissions.manuscripts_to_recommend(tables.source("mv_manuscript_version"), _keywords(tables), as_of)
-    model = load_model(tables.spark, path)
-    only = type(model)(model.profiles.filter(F.col("role") == role), model.terms.filter(F.col("role") == role))
-    rows = recommend.recommendation_rows(limited(wanted, limit, "version_id"), only)
+    model = load_model(tables.spark, path).only(role)
+    rows = recommend.recommendation_rows(limited(wanted, limit, "version_id"), model)
     return tables.save(clean_fields(rows.drop("role", "rank")), RECOMMENDATIONS[role], REPLACE)
 
 
