@@ -58,7 +58,7 @@ def page_faults(pages: DataFrame, query: str, page_number: str, raw: str = "resp
     return checked.filter(short | (F.col("broken_links") > 0))
 
 
-def keyword_request(text: Column, kind: str = "extract-keyword") -> Column:
+def keyword_request(text: Column, kind: str = "extract-keyword-request") -> Column:
     """Request body that asks for the keywords of one text."""
     return F.to_json(
         F.struct(
