@@ -12,10 +12,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """A scan with fewer splits than cores is spread out by key; large inputs are left as they are."""
-    spark = df.sparkSession
-    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.repartition(key)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # small inputs still use all cores; large ones are cut by the advisory size
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     # a join is broadcast only when its measured size is below this
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
