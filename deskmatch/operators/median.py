@@ -49,6 +49,6 @@ def exact_median(
     found = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), at(low).alias("_lo"), at(high).alias("_hi"))
     missed = (F.col("_n") > 0) & (F.col("_lo").isNull() | F.col("_hi").isNull())
     median = F.when(missed, F.raise_error(F.lit("median outside its bracket")).cast("double")).otherwise(
-        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * 0.5
+        (F.col("_lo") + F.col("_hi")) / 2
     )
     return found.select(*keys, median.alias(alias))
