@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -18,13 +17,10 @@ MAX_SALTS = 64
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder the cluster names; local sessions may fall back to /tmp."""
+    """A new folder name below the shared folder that the session names; it is required and never set here."""
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="deskmatch-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by the driver and all executors")
     app = spark.sparkContext.applicationId
     return f"{root.rstrip('/')}/deskmatch/{app}/{label}-{uuid.uuid4().hex}"
 
