@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from deskmatch.llm import bpe, counts, packing
-from deskmatch.llm.common import table
+from deskmatch.llm import bpe, counts, packing, quality, toxicity
+from deskmatch.llm.common import id_remainder, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -16,6 +17,25 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), keep_ids=False)
 
 
+def _with_fold(scored: DataFrame, divisor: int, remainder: int) -> DataFrame:
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), divisor) == remainder, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of the third with remainder 1 are held out."""
+    learn = id_remainder(F.col("doc_id"), 3) != 1
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return _with_fold(toxicity.score_toxicity(docs, labels, learn, threshold=0.7), 3, 1)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels of the fifth with remainder 0 are held out."""
+    learn = id_remainder(F.col("doc_id"), 5) != 0
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return _with_fold(quality.score_quality(docs, labels, learn, threshold=0.3), 5, 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), limit=2048)
@@ -26,5 +46,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op7_token_counts": op7_token_counts, "op10_packing": op10_packing}
+QUERIES = {
+    "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op7_token_counts": op7_token_counts, "op8_quality": op8_quality,
+    "op10_packing": op10_packing,
+}
 SQL: dict[str, str] = {}
