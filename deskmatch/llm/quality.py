@@ -11,6 +11,8 @@ import math
 import zlib
 from collections import Counter
 from functools import lru_cache
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from deskmatch.llm.common import columns, id_and_text, labelled_sample
 
 BUCKETS, WIDTH, GRAMS = 1 << 16, 16, (3, 4, 5)
 #: labelled texts of each class that are learnt from, passes over them, and the first step size
-PER_CLASS, EPOCHS, RATE = 1000, 6, 0.5
+PER_CLASS, EPOCHS, RATE = 1000, 5, 0.05
 CACHED = 300_000
 
 
@@ -33,10 +35,19 @@ def buckets(word: str) -> list[int]:
     return [h % BUCKETS for h in found]
 
 
+def signs(listed: list[str]) -> list[tuple[str, int]]:
+    """Words of the model's own that tell what no single word does, with their counts: repeats of the word just
+    before, repeats at all, and the order of the text's length. White space keeps them apart from words of a text."""
+    n = len(listed)
+    again = sum(map(eq, listed, islice(listed, 1, None)))
+    return [(" again", again), (" seen", n - len(set(listed))), (f" {n.bit_length()} bits", 1 + n // 16)] if n else []
+
+
 def text_features(text: str) -> tuple[list[int], list[float]]:
     """Distinct buckets of a text and their weights in the text vector; both empty for a text without words."""
     total: Counter = Counter()
-    counted = Counter(text.split())
+    listed = text.split()
+    counted = Counter(listed) + Counter(dict(signs(listed)))
     n_words = sum(counted.values())
     for word, n in counted.items():
         found = buckets(word)
@@ -64,6 +75,7 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOC
     vectors = random.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype("f4")
     output, bias = random.uniform(-0.1, 0.1, (2, WIDTH)).astype("f4"), np.zeros(2, "f4")
     share = Counter(label for label, _, _ in examples)
+    moved = np.zeros(BUCKETS, "f4")  # squared steps so far: buckets that moved much move slower
     steps, done = epochs * len(examples), 0
     for _ in range(epochs):
         for at in random.permutation(len(examples)):
@@ -78,10 +90,11 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOC
             guess *= len(examples) / 2 / share[label]  # both classes weigh the same
             back = guess @ output
             output -= rate * np.outer(guess, hidden)
-            bias -= rate * 0.1 * guess
+            bias -= rate * guess
             if len(bucket):
-                # the text vector is a mean: its parts move in proportion to their share, scaled up
-                vectors[bucket] -= (rate * np.minimum(weight * len(bucket), 20.0))[:, None] * back
+                slope = weight[:, None] * back
+                moved[bucket] += (slope * slope).mean(axis=1)
+                vectors[bucket] -= rate * slope / np.sqrt(moved[bucket] + 1e-10)[:, None]
     return (vectors @ (output[1] - output[0])).astype("f8"), float(bias[1] - bias[0])
 
 
@@ -136,7 +149,9 @@ def score_quality(
             found = []
             for text in texts:
                 listed = text.split()
-                odds = bias + (sum(map(get, listed)) / len(listed) if listed else 0.0)
+                own = signs(listed)
+                total = sum(map(get, listed)) + sum(get(word) * n for word, n in own)
+                odds = bias + (total / (len(listed) + sum(n for _, n in own)) if listed else 0.0)
                 found.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(ids, pa.int64()), "score": pa.array(found, pa.float64()),
