@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmatch.llm import bpe, counts, packing, quality, toxicity
+from deskmatch.llm import bpe, counts, near, packing, quality, toxicity
 from deskmatch.llm.common import id_remainder, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -36,6 +36,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_fold(quality.score_quality(docs, labels, learn, threshold=0.3), 5, 0)
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on three-word shingles."""
+    return near.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), limit=2048)
@@ -47,7 +52,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op7_token_counts": op7_token_counts, "op8_quality": op8_quality,
+    "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op5_near_duplicates": op5_near_duplicates,
+    "op7_token_counts": op7_token_counts, "op8_quality": op8_quality,
     "op10_packing": op10_packing,
 }
 SQL: dict[str, str] = {}
