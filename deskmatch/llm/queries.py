@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmatch.llm import bpe, counts, near, packing, quality, toxicity
+from deskmatch.llm import bpe, counts, near, packing, quality, topk, toxicity
 from deskmatch.llm.common import id_remainder, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -46,6 +46,26 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), limit=2048)
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 1024 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
@@ -54,6 +74,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op5_near_duplicates": op5_near_duplicates,
     "op7_token_counts": op7_token_counts, "op8_quality": op8_quality,
-    "op10_packing": op10_packing,
+    "op9_top_k": op9_top_k, "op10_packing": op10_packing,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op9_top_k": OP9_SQL}
