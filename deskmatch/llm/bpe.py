@@ -26,8 +26,8 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 BEFORE_SPACE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 #: texts of one block together, in characters; one longer text is a block of its own
 BLOCK_CHARS = 16_000_000
-#: entries of a worker's cache before it starts anew
-CACHE_WORDS = 400_000
+#: entries of one of the two generations of a worker's cache
+CACHE_WORDS = 500_000
 
 
 @lru_cache(maxsize=4)
@@ -74,19 +74,21 @@ def words(text: str) -> list[str]:
 
 
 class WordIds(dict):
-    """Ids of `" " + key` as bytes, filled on demand up to a bound."""
+    """Ids of `" " + key` as bytes, filled on demand. A full cache becomes the older generation, from which
+    words that are met again are taken over, so frequent words stay."""
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         super().__init__()
-        self.tokenizer, self.limit = tokenizer(path), limit
+        self.tokenizer, self.limit, self.older = tokenizer(path), limit, {}
 
     def encoded(self, word: str) -> bytes:
         return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def __missing__(self, key: str) -> bytes:
-        found = self.encoded(" " + key)
+        found = self.older.get(key) or self.encoded(" " + key)
         if len(key) <= 64:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[key] = found
         return found
