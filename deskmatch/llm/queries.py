@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmatch.llm import bpe, counts, near, packing, quality, topk, toxicity
+from deskmatch.llm import bpe, chat, counts, near, packing, quality, rules, topk, toxicity
 from deskmatch.llm.common import id_remainder, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -36,6 +36,46 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_fold(quality.score_quality(docs, labels, learn, threshold=0.3), 5, 0)
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations and a difficult one, read back from their formatted texts."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    hard = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    messages = rows.unionByName(hard).withColumn("parts", chat.text_part(F.col("text")))
+    back = chat.read_back(chat.format_conversations(messages))
+    lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit("\n"), m["text"], F.lit("\n")))
+    learnt = F.array_join("learnt", "")
+    return back.select(
+        "conv_id", F.size("messages").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length(learnt).cast("long").alias("loss_chars"), F.sha2(learnt, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP3_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+  CAST(sum(23 + length(regexp_replace(role, '[\\<\[]', 'xx', 'g')) + length(regexp_replace(text, '[\\<\[]', 'xx', 'g'))) AS BIGINT)
+    AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of the learnt decision list for every document."""
+    docs = table(spark, sf_dir, "documents")
+    learnt = rules.quality_rules(docs, table(spark, sf_dir, "labels"))
+    return rules.judge(docs, learnt).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on three-word shingles."""
     return near.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
@@ -72,8 +112,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op5_near_duplicates": op5_near_duplicates,
+    "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op3_chat": op3_chat,
+    "op4_quality_rules": op4_quality_rules, "op5_near_duplicates": op5_near_duplicates,
     "op7_token_counts": op7_token_counts, "op8_quality": op8_quality,
     "op9_top_k": op9_top_k, "op10_packing": op10_packing,
 }
-SQL: dict[str, str] = {"op9_top_k": OP9_SQL}
+SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_top_k": OP9_SQL}
