@@ -29,7 +29,7 @@ def let(value: Column, body) -> Column:
 
 
 def _count_of(text: Column, characters: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, F.lit(characters), F.lit("")))
+    return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
 
 
 def repeat_words(words: Column) -> Column:
@@ -54,11 +54,11 @@ def text_statistics(text: Column) -> dict[str, Column]:
     """All statistics of one text column; a null text is empty."""
     text = F.coalesce(text, F.lit(""))
     words = F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+"), "")
-    lines = F.filter(F.split(text, "\n"), lambda line: F.char_length(F.translate(line, F.lit(SPACES), F.lit(""))) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda line: F.char_length(F.translate(line, SPACES, "")) > 0)
     of_words = let(words, lambda w: F.struct(F.size(w).alias("n"), repeat_words(w).alias("again")))
     columns = {
         "_of_words": of_words,
-        "word_chars": F.char_length(F.translate(text, F.lit(SPACES), F.lit(""))),
+        "word_chars": F.char_length(F.translate(text, SPACES, "")),
         "n_symbols": _count_of(text, SYMBOLS),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
         "n_capitals": _count_of(text, CAPITALS),
