@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmatch.llm import bpe, chat, counts, near, packing, quality, rules, topk, toxicity
+from deskmatch.llm import bpe, chat, counts, licenses, near, packing, quality, rules, topk, toxicity
 from deskmatch.llm.common import id_remainder, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -81,6 +81,15 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every page: its own notice, or that of the nearest folder of its address. Any page that states
+    a license is a witness for its folder, as addresses here name no licence files."""
+    path = F.regexp_replace(F.regexp_replace("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://", ""), r"/*([?#].*)?$", "")
+    pages = table(spark, sf_dir, "pages").select("page_id", path.alias("path"), "html")
+    found = licenses.scan(pages, id_column="page_id", text_column="html", witness=F.lit(True))
+    return found.withColumnRenamed("id", "page_id")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), limit=2048)
@@ -114,6 +123,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op3_chat": op3_chat,
     "op4_quality_rules": op4_quality_rules, "op5_near_duplicates": op5_near_duplicates,
+    "op6_licenses": op6_licenses,
     "op7_token_counts": op7_token_counts, "op8_quality": op8_quality,
     "op9_top_k": op9_top_k, "op10_packing": op10_packing,
 }
