@@ -260,3 +260,15 @@ def near_duplicates(
             F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
         )
     )
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose document is kept, with all their columns; equal texts under one id stay once.
+
+    Rows without id stay. ``docs`` is read more than once, so it should be a stored table.
+    """
+    found = near_duplicates(docs, size, percent, id_column, text_column)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, docs[id_column].cast("long") == gone["_gone"], "left_anti")
+    named = left.filter(F.col(id_column).isNotNull()).dropDuplicates([id_column, text_column])
+    return named.unionByName(left.filter(F.col(id_column).isNull()))

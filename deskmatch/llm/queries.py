@@ -26,7 +26,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of the third with remainder 1 are held out."""
     learn = id_remainder(F.col("doc_id"), 3) != 1
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return _with_fold(toxicity.score_toxicity(docs, labels, learn, threshold=0.7), 3, 1)
+    model = toxicity.learn_model(docs, labels, learn)
+    return _with_fold(toxicity.score_toxicity(docs, model, threshold=0.7), 3, 1)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -169,41 +169,67 @@ def known_weights(found: set[str], weight: dict[str, float], starts: Starts) ->
     return [weight[f] for f in known if f in weight]
 
 
-def score_toxicity(
-    docs: DataFrame, labels: DataFrame, learn: Column, threshold: float = 0.7, per_class: int = PER_CLASS,
-    id_column: str = "doc_id", text_column: str = "text", label: str = "toxic", groups=GROUPS,
-) -> DataFrame:
-    """One row per document: doc_id, score (chance of class 1, between 0 and 1), predicted (score >= threshold).
+Model = tuple[dict[str, float], float]
 
-    ``learn`` is a condition on doc_id; only labels that meet it are learnt from, at most ``per_class`` of each
-    class, both classes with equal weight, so a score is the chance in a mix of equal parts. A null text is
-    empty; a text without known words gets the score of the bias alone. Repeated rows and null ids give a row
-    each. Without labels of both classes every score is the share of class 1.
-    """
-    sample, totals = labelled_sample(docs, labels, label, learn, per_class, id_column, text_column)
+
+def learn_model(
+    docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_class: int = PER_CLASS,
+    id_column: str = "doc_id", text_column: str = "text", label: str = "toxic", groups=GROUPS,
+) -> Model:
+    """(weight by feature, bias), at most VOCABULARY features, from at most ``per_class`` labelled texts of each class."""
+    condition = F.lit(True) if learn is None else learn
+    sample, totals = labelled_sample(docs, labels, label, condition, per_class, id_column, text_column)
     ones, zeros = totals.get(1, 0), totals.get(0, 0)
-    table: dict[str, float] = {}
-    bias = math.log((ones + 1) / (zeros + 1))
     if ones and zeros:
         known = vocabulary(sample)
         # at most 2 * per_class rows with at most VOCABULARY numbers each
         rows = sample_features(sample, known, groups).orderBy("doc_id").collect()
         if len({r["label"] for r in rows}) == 2:
             weights, bias = train(rows, len(known))
-            table = {w: float(x) for w, x in zip(known, weights) if x}
-    shared = docs.sparkSession.sparkContext.broadcast(table)  # at most VOCABULARY words
+            return {w: float(x) for w, x in zip(known, weights) if x}, bias
+    return {}, math.log((ones + 1) / (zeros + 1))
+
+
+def text_score(text: str | None, weight: dict[str, float], bias: float, starts: Starts) -> float:
+    odds = bias + math.fsum(known_weights(words(text or ""), weight, starts))
+    return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
+
+
+def score_toxicity(
+    docs: DataFrame, model: Model, threshold: float = 0.7, id_column: str = "doc_id", text_column: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id, score (chance of class 1, between 0 and 1), predicted (score >= threshold).
+
+    Both classes had equal weight in learning, so a score is the chance in a mix of equal parts. A null text is
+    empty; a text without known features gets the score of the bias alone. Repeated rows and null ids give a
+    row each; an empty table gives none; other columns are ignored. A model of labels of one class, or of none,
+    scores every text by the share of class 1.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        weight = shared.value
+        weight, bias = shared.value
         starts = Starts(weight)
         for ids, texts in columns(batches, "doc_id", "text"):
-            found = []
-            for text in texts:
-                odds = bias + math.fsum(known_weights(words(text), weight, starts))
-                found.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
+            found = [text_score(text, weight, bias, starts) for text in texts]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(ids, pa.int64()), "score": pa.array(found, pa.float64()),
                 "predicted": pa.array([int(s >= threshold) for s in found], pa.int32()),
             })
 
     return id_and_text(docs, id_column, text_column).mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    position = docs.columns.index(text_column)
+
+    def run(batches):
+        weight, bias = shared.value
+        starts = Starts(weight)
+        for batch in batches:
+            scores = [text_score(text, weight, bias, starts) for text in batch.column(position).to_pylist()]
+            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
