@@ -127,70 +127,91 @@ def _blocks(batches: Iterable[pa.RecordBatch], block_chars: int) -> Iterator[tup
         yield number, codes, docs
 
 
-def _checksum(codes: dict[str, int]) -> int:
-    return zlib.crc32("\x00".join(codes).encode())
+def _bucket_lists(codes: dict[str, int], buckets: int) -> tuple[np.ndarray, list[list[bytes]]]:
+    """The bucket of every code, and the words of each bucket in the order of their codes."""
+    raw = [word.encode() for word in codes]
+    bucket_of = np.fromiter((zlib.crc32(word) % buckets for word in raw), "<u2", len(raw))
+    listed: list[list[bytes]] = [[] for _ in range(buckets)]
+    for bucket, word in zip(bucket_of.tolist(), raw):
+        listed[bucket].append(word)
+    return bucket_of, listed
 
 
-def block_words(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(block, position, word): the distinct words of every block."""
+def _squeezed(parts: list[bytes]) -> bytes:
+    """Byte strings and their lengths in one compressed value."""
+    sizes = np.fromiter(map(len, parts), "<u4", len(parts))
+    return zlib.compress(np.ascontiguousarray(sizes.view("u1").reshape(-1, 4).T).tobytes() + b"".join(parts), 1)
+
+
+def _parts(squeezed: bytes, n: int) -> list[bytes]:
+    raw = zlib.decompress(squeezed)
+    sizes = np.ascontiguousarray(np.frombuffer(raw, "u1", 4 * n).reshape(4, n).T).view("<u4").ravel()
+    ends = (4 * n + np.cumsum(sizes, dtype="i8")).tolist()
+    return [raw[start:end] for start, end in zip([4 * n, *ends], ends)]
+
+
+def block_words(docs: DataFrame, buckets: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(bucket, block, n, words): the distinct words of every block, one row for each bucket of words."""
 
     def run(batches):
         for number, codes, _ in _blocks(batches, block_chars):
-            listed = list(codes)
-            for start in range(0, len(listed), 50_000):
-                part = listed[start : start + 50_000]
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([number] * len(part), pa.int64()),
-                    "position": pa.array(range(start, start + len(part)), pa.int32()),
-                    "word": pa.array(part, pa.string()),
-                })
+            held = [(k, words) for k, words in enumerate(_bucket_lists(codes, buckets)[1]) if words]
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array([k for k, _ in held], pa.int32()), "block": pa.array([number] * len(held), pa.int64()),
+                "n": pa.array([len(words) for _, words in held], pa.int32()),
+                "words": pa.array([_squeezed(words) for _, words in held], pa.binary()),
+            })
 
-    return docs.mapInArrow(run, "block long, position int, word string")
+    return docs.mapInArrow(run, "bucket int, block long, n int, words binary")
 
 
-def block_codes(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per block: its documents, the number of words of each, their codes in order, and a checksum."""
+def block_codes(docs: DataFrame, buckets: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """One row per block: its documents, the number of words of each, the codes of the words in order, the
+    bucket of each code, and a checksum of the words of each bucket."""
 
     def run(batches):
         for number, codes, members in _blocks(batches, block_chars):
-            listed = np.concatenate([np.asarray(c, dtype="<u4") for _, c in members])
-            planes = np.ascontiguousarray(listed.view("u1").reshape(-1, 4).T).tobytes()
+            bucket_of, listed = _bucket_lists(codes, buckets)
+            used = np.concatenate([np.asarray(c, dtype="<u4") for _, c in members])
+            planes = np.ascontiguousarray(used.view("u1").reshape(-1, 4).T).tobytes()
             yield pa.RecordBatch.from_pydict({
                 "block": pa.array([number], pa.int64()),
                 "doc_ids": pa.array([[i for i, _ in members]], pa.list_(pa.int64())),
                 "sizes": pa.array([[len(c) for _, c in members]], pa.list_(pa.int64())),
                 "codes": pa.array([zlib.compress(planes, 1)], pa.binary()),
-                "checksum": pa.array([_checksum(codes)], pa.int64()),
-                "n_words": pa.array([len(codes)], pa.int64()),
+                "bucket_of": pa.array([zlib.compress(bucket_of.tobytes(), 1)], pa.binary()),
+                "checks": pa.array([[zlib.crc32(b"\x00".join(words)) for words in listed if words]], pa.list_(pa.int64())),
             })
 
     return docs.mapInArrow(
-        run, "block long, doc_ids array<long>, sizes array<long>, codes binary, checksum long, n_words long"
+        run, "block long, doc_ids array<long>, sizes array<long>, codes binary, bucket_of binary, checks array<long>"
     )
 
 
-def encoded_words(listed: DataFrame, path: str) -> DataFrame:
-    """(block, position, ids) for (block, position, word): equal words meet and are encoded once."""
+def encoded_words(listed: DataFrame, path: str, limit: int = CACHE_WORDS) -> DataFrame:
+    """(block, bucket, n, ids, check): a bucket is one part of the distinct-word table; all its words meet in
+    one task, which encodes each distinct one once (a bucket of over ``limit`` words repeats some)."""
 
     def run(batches):
-        last, found = None, b""
         encode = tokenizer(path).encode
-        for blocks, positions, texts in columns(batches, "block", "position", "word"):
-            out = []
-            for word in texts:
-                if word != last:
-                    last, found = word, packed(encode(word, add_special_tokens=False).ids)
-                out.append(found)
-            yield pa.RecordBatch.from_pydict({
-                "block": pa.array(blocks, pa.int64()), "position": pa.array(positions, pa.int32()),
-                "ids": pa.array(out, pa.binary()),
-            })
+        last, table = None, {}
+        for batch in batches:
+            for bucket, block, n, squeezed in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket != last or len(table) > limit:
+                    last, table = bucket, {}
+                words = _parts(squeezed, n)
+                for word in words:
+                    if word not in table:
+                        table[word] = np.asarray(encode(word.decode(), add_special_tokens=False).ids, "<u2" if small else "<u4").tobytes()
+                yield pa.RecordBatch.from_pydict({
+                    "block": pa.array([block], pa.int64()), "bucket": pa.array([bucket], pa.int32()), "n": pa.array([n], pa.int32()),
+                    "ids": pa.array([_squeezed([table[word] for word in words])], pa.binary()),
+                    "check": pa.array([zlib.crc32(b"\x00".join(words))], pa.int64()),
+                })
 
-    # a word has at most one row in each block, so no word outweighs the others
-    return (
-        listed.repartition("word").sortWithinPartitions("word")
-        .mapInArrow(run, "block long, position int, ids binary")
-    )
+    small = tokenizer(path).get_vocab_size() <= 1 << 16
+    dealt = listed.select("bucket", "block", "n", "words").repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "block long, bucket int, n int, ids binary, check long")
 
 
 def encode_and_decode(
@@ -204,37 +225,42 @@ def encode_and_decode(
     With ``keep_ids=False`` ids and decoded text are left out and only their digests stay.
 
     ``docs`` is read twice and has to give the same rows in the same partitions both times, as a stored
-    table does; each block carries a checksum of its words, and a difference ends the job with an error.
+    table does; each block carries checksums of its words, and a difference ends the job with an error.
     """
     docs = id_and_text(docs, id_column, text_column)
-    listed = encoded_words(block_words(docs, block_chars), path)
-    # the dictionary of one block is bounded by the text of one block
-    dictionary = listed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("position", "ids"))).alias("entries"))
-    # also a block without any word keeps its documents
-    joined = block_codes(docs, block_chars).join(dictionary, "block", "left")
+    # buckets of the distinct-word table: one or more per task of a shuffle
+    buckets = min(60_000, max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    listed = encoded_words(block_words(docs, buckets, block_chars), path)
+    # the words of one block are bounded by the text of one block
+    entries = listed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "ids", "check"))).alias("entries"))
+    # a block without any word keeps its documents
+    joined = block_codes(docs, buckets, block_chars).join(entries, "block", "left").select(
+        "doc_ids", "sizes", "codes", "bucket_of", "checks", "entries")
+    small = tokenizer(path).get_vocab_size() <= 1 << 16
 
     def run(batches):
         pieces = id_bytes(path)
         for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                get = lambda name: one.column(one.schema.get_field_index(name))
-                entries = get("entries")
-                ids = entries.flatten().field("ids").to_pylist() if entries.null_count == 0 else []
-                check = zlib.crc32(b"\x00".join(b"".join(map(pieces.__getitem__, np.frombuffer(i, "<u4").tolist())) for i in ids))
-                if len(ids) != get("n_words")[0].as_py() or check != get("checksum")[0].as_py():
+            for at_row in range(batch.num_rows):
+                doc_ids, sizes, codes, bucket_of, checks, entries = (c[at_row].as_py() for c in batch.columns)
+                if checks != [e["check"] for e in entries or ()]:
                     raise RuntimeError("documents changed between two reads; store them first")
-                planes = np.frombuffer(zlib.decompress(get("codes")[0].as_py()), "u1").reshape(4, -1)
-                codes = np.ascontiguousarray(planes.T).view("<u4").ravel()
+                # back by position: words of a bucket are in the order of their codes
+                order = np.argsort(np.frombuffer(zlib.decompress(bucket_of), "<u2"), kind="stable")
+                ids = np.empty(len(order), object)
+                ids[order] = [i for e in entries or () for i in _parts(e["ids"], e["n"])]
+                planes = np.frombuffer(zlib.decompress(codes), "u1").reshape(4, -1)
+                used = ids[np.ascontiguousarray(planes.T).view("<u4").ravel()].tolist()
                 out: dict[str, list] = {name: [] for name in ("doc_id", "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256")}
                 size = at = 0
-                for doc_id, n in zip(get("doc_ids")[0].as_py(), get("sizes")[0].as_py()):
-                    found = b"".join(map(ids.__getitem__, codes[at : at + n].tolist()))
-                    text = b"".join(map(pieces.__getitem__, np.frombuffer(found, "<u4").tolist())).decode("utf-8", "replace")
+                for doc_id, n in zip(doc_ids, sizes):
+                    listed = np.frombuffer(b"".join(used[at : at + n]), "<u2" if small else "<u4").astype("<u4")
+                    found = listed.tobytes()
+                    text = b"".join(map(pieces.__getitem__, listed.tolist())).decode("utf-8", "replace")
                     at += n
                     size += len(found) + len(text)
                     for name, value in zip(out, (
-                        doc_id, len(found) // 4, found if keep_ids else b"", text if keep_ids else "",
+                        doc_id, len(listed), found if keep_ids else b"", text if keep_ids else "",
                         hashlib.sha256(found).hexdigest(), hashlib.sha256(text.encode()).hexdigest(),
                     )):
                         out[name].append(value)
