@@ -6,8 +6,10 @@ folded into a parity bitmap (an odd sketch), tell by the population count of an
 candidates are. What may reach the threshold is confirmed on the full sets. Groups are the connected
 components of the confirmed links.
 
-No group is expanded into its pairs: in each band a representative meets the first one of the band, and
-only members that end up in different components meet each other, as far as their sketches allow a link.
+No group is expanded into its pairs. In each band a representative meets the leader of the band, and what
+it shares with the leader and what not is known exactly. Members that end up in other components meet again
+only where these parts allow a link: at a shingle both have outside the leader, or at a small enough size.
+Such pairs pass the sketches before they are confirmed.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from deskmatch.llm.common import columns, id_and_text, stored
 SKETCH_BITS = 1024
 #: chance that two sets exactly at the threshold share no band
 MISSED = 1e-7
-#: similarity below the threshold by which a sketch may underrate a pair (over six standard deviations)
-SKETCH_MARGIN = 0.16
+#: similarity below the threshold by which a sketch may underrate a pair (over five standard deviations)
+SKETCH_MARGIN = 0.13
 CACHED = 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -134,27 +136,103 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, odd array<long>")
 
 
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b) with both texts; rows of one b follow each other where the join sorts them."""
+    first = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    second = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    return pairs.select("a", "b").join(first, "a").join(second, "b")
+
+
+def _sets(batches, size: int):
+    """(a, b, set of a, set of b) row by row; the set of the last b is kept."""
+    last, known = None, None
+    for listed in columns(batches, "a", "b", "text_a", "text_b"):
+        for a, b, text_a, text_b in zip(*listed):
+            if b != last:
+                last, known = b, shingles(text_b, size)
+            yield a, b, shingles(text_a, size), known
+
+
+def reaches(common: int, n: int, m: int, percent: int) -> bool:
+    return 100 * common >= percent * (n + m - common)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose full sets reach the threshold."""
 
     def run(batches):
-        last, known = None, None
-        for a, b, text_a, text_b in columns(batches, "a", "b", "text_a", "text_b"):
-            keep = []
-            for i in range(len(a)):
-                if b[i] != last:  # rows of one b follow each other
-                    last, known = b[i], shingles(text_b[i], size)
-                own = shingles(text_a[i], size)
-                common = len(np.intersect1d(own, known, assume_unique=True))
-                if 100 * common >= percent * (len(own) + len(known) - common):
-                    keep.append(i)
-            yield pa.RecordBatch.from_pydict({
-                "a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64()),
-            })
+        found = [
+            (a, b) for a, b, own, other in _sets(batches, size)
+            if reaches(len(np.intersect1d(own, other, assume_unique=True)), len(own), len(other), percent)
+        ]
+        yield pa.RecordBatch.from_pydict({
+            "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return with_texts(pairs, texts).mapInArrow(run, "a long, b long")
 
-    first = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.select("a", "b").join(first, "a").join(second, "b").mapInArrow(run, "a long, b long")
+
+def anchored(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Members against the leader they met: id, leader, n (size), m (leader's size), common, linked, and ``rest``,
+    the least part of the member's other shingles that any other member it may link with must share.
+
+    Two members with a link have at least percent/100 of the larger set in common. What they do not share
+    through the leader they share outside it: k shingles, with k >= percent/100 * n - common for both. Of two
+    sets with k equal elements, all but k - 1 elements of each, in one order, already have one in common.
+    """
+
+    def run(batches):
+        rows = []
+        for a, b, own, other in _sets(batches, size):
+            outside = np.setdiff1d(own, other, assume_unique=True)
+            common = len(own) - len(outside)
+            needed = max(1, -(-percent * len(own) // 100) - common)
+            rest = outside[: max(0, len(outside) - needed + 1)]
+            rows.append((a, b, len(own), len(other), common, reaches(common, len(own), len(other), percent), rest.view("i8").tolist()))
+            if len(rows) >= 2000:
+                yield _anchored_rows(rows)
+                rows = []
+        yield _anchored_rows(rows)
+
+    return with_texts(pairs, texts).mapInArrow(
+        run, "id long, leader long, n long, m long, common long, linked boolean, rest array<long>")
+
+
+def _anchored_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()))
+    names = ("id", "leader", "n", "m", "common", "linked", "rest")
+    listed = list(zip(*rows)) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(listed, kinds)], names=list(names))
+
+
+def still_possible(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members of one leader in different components that may be linked. ``members`` are the rows of
+    :func:`anchored` with component and main (the leader's component). Pairs meet at a shared shingle outside
+    the leader, or, where the leader's shingles alone may do, at a size that is small enough."""
+    t = percent / 100
+    side = lambda letter, *more: [F.col(c).alias(f"{c}_{letter}") for c in ("id", "n", "common", "component", *more)]
+    apart = F.col("component") != F.col("main")
+    need = F.col("n_a") + F.col("n_b")
+    shared = F.least("common_a", "common_b") + F.least(F.col("n_a") - F.col("common_a"), F.col("n_b") - F.col("common_b"))
+    fits = (
+        (F.col("component_a") != F.col("component_b"))
+        & ((F.col("component_b") == F.col("main")) | (F.col("id_a") < F.col("id_b")))
+        & ((100 + percent) * shared >= percent * need)
+    )
+    spread = members.withColumn("at", F.explode("rest"))
+    met = spread.filter(apart).select("leader", "at", *side("a")).join(spread.select("leader", "at", "main", *side("b")), ["leader", "at"]).filter(fits)
+    # a link inside the leader alone needs common * (1 + t) / t - n >= the other's size, so the other is the smaller one
+    step = lambda size: F.floor(F.log(F.greatest(size, F.lit(1.0)).cast("double")) / math.log(1.02))
+    most = F.floor(F.col("common") * ((1 + t) / t) + 1e-9) - F.col("n")
+    least = F.floor(t * F.col("n") - 1e-9)
+    inside = 100 * F.col("common") >= percent * F.col("n")
+    small = (
+        members.filter(apart & inside & (most >= least) & (most > 0))
+        .select("leader", *side("a"), F.explode(F.sequence(step(least), step(most))).alias("step"))
+        .join(members.filter(inside).select("leader", "main", step(F.col("n")).alias("step"), *side("b")), ["leader", "step"])
+        .filter(fits & ((100 + percent) * F.least("common_a", "common_b") >= percent * need))
+    )
+    pairs = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).unionByName(small.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
+    return pairs.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -202,41 +280,29 @@ def near_duplicates(
     classes = stored(usable.groupBy("set_key").agg(F.min("doc_id").alias("class")), "classes")
     ones = classes.select("set_key", F.col("class").alias("id"))
     heads = usable.withColumnRenamed("doc_id", "id").join(ones, ["set_key", "id"]).select("id", "bands", "odd")
-    odd = heads.select("id", "odd")
-
-    # every representative with the first one of each of its bands
+    # every representative with the leader of each of its bands: the one that shares bands with most others
     banded = heads.select("id", F.explode("bands").alias("band"))
     shared = stored(
-        banded.withColumn("first", F.min("id").over(Window.partitionBy("band")))
-        .withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("band"))).filter("members > 1").drop("members"),
-        "bands",
-    )
-    met = shared.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
-    rated = (
-        met.join(odd.select(F.col("id").alias("a"), F.col("odd").alias("odd_a")), "a")
-        .join(odd.select(F.col("id").alias("b"), F.col("odd").alias("odd_b")), "b")
-        .select("a", "b", flips(F.col("odd_a"), F.col("odd_b")).alias("apart")).filter(F.col("apart") <= limit)
+        banded.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("band"))).filter("members > 1"), "bands"
     )
-    # the most similar one of them first
-    best = stored(rated.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best")).select("a", "best.b"), "pairs")
-    needed = shared.select("id").distinct()
+    central = shared.groupBy("id").agg(F.sum("members").alias("weight"))
+    leaders = shared.join(central, "id").groupBy("band").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("top"))
+    met = shared.join(leaders.select("band", (-F.col("top.id")).alias("leader")), "band").filter("id <> leader").select(
+        F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
     texts = stored(
-        docs.withColumnRenamed("doc_id", "id").join(needed, "id").join(classes.select(F.col("class").alias("id")).distinct(), "id", "semi")
-        .groupBy("id").agg(F.min("text").alias("text")),
-        "texts",
-    )
-    grouped = stored(components(confirmed(best, texts, size, percent)), "components")
-
-    # members of one band that are still apart: each outside the first component with all others not in its own
-    placed = shared.join(grouped, "id", "left").select("id", "band", F.coalesce("component", "id").alias("component"))
-    apart = placed.groupBy("band").agg(F.min("component").alias("main"), F.max("component").alias("last")).filter("main <> last")
-    open_bands = stored(placed.join(apart.select("band", "main"), "band").join(odd, "id"), "open")
-    left = open_bands.filter("component <> main").select(
-        "band", F.col("id").alias("a"), F.col("component").alias("component_a"), F.col("odd").alias("odd_a"))
-    right = open_bands.select("band", F.col("id").alias("b"), F.col("component").alias("component_b"), F.col("odd").alias("odd_b"), "main")
+        docs.withColumnRenamed("doc_id", "id").join(central.select("id"), "id").groupBy("id").agg(F.min("text").alias("text")), "texts")
+    members = stored(anchored(met, texts, size, percent), "members")
+    grouped = stored(components(members.filter("linked").select(F.col("id").alias("a"), F.col("leader").alias("b"))), "components")
+
+    # members that are still apart from others of the same leader
+    of_leader = grouped.select(F.col("id").alias("leader"), F.col("component").alias("main"))
+    placed = members.join(grouped, "id", "left").join(of_leader, "leader", "left").select(
+        "leader", "id", "n", "common", "rest", F.coalesce("component", "id").alias("component"), F.coalesce("main", "leader").alias("main"))
+    possible = still_possible(stored(placed, "placed"), percent)
+    odd = heads.select("id", "odd")
     further = (
-        left.join(right, "band")
-        .filter((F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("main")) | (F.col("a") < F.col("b"))))
+        possible.join(odd.select(F.col("id").alias("a"), F.col("odd").alias("odd_a")), "a")
+        .join(odd.select(F.col("id").alias("b"), F.col("odd").alias("odd_b")), "b")
         .filter(flips(F.col("odd_a"), F.col("odd_b")) <= limit).select("a", "b").distinct()
     )
     links = confirmed(further, texts, size, percent)
