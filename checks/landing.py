@@ -312,7 +312,7 @@ def delimited_roundtrip(spark, sf_dir) -> DataFrame:
     path = f"{scratch_folder(spark, 'files')}/documents.tsv.gz"
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "text")
     files.write_delimited(docs, path)
-    back = files.read_delimited(spark, path, "doc_id bigint, source string, n_chars bigint, text string")
+    back = files.read_delimited(spark, path, "doc_id bigint, source string, n_chars bigint, text string", True)
     return back.select("doc_id", "source", "n_chars", F.md5("text").alias("text_md5"))
 
 

@@ -65,18 +65,13 @@ def selected_papers(spark, sf_dir) -> DataFrame:
 def selected_paper_lists(spark, sf_dir) -> DataFrame:
     """Ids per customer as text; customers without any are listed too."""
     persons = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("person_id"))
-    lists = dis.as_id_lists(persons, _selected(spark, sf_dir), max_per_row=4, spread=F.col("pmid"))
-    return lists.select("person_id", "part", F.array_join("disambiguated_pubmed_ids", ",").alias("ids"))
+    lists = dis.as_id_lists(persons, _selected(spark, sf_dir))
+    return lists.select("person_id", F.array_join("disambiguated_pubmed_ids", ",").alias("ids"))
 
 
 LISTS_SQL = f"""WITH {PRIORITY_SQL},
-parts AS (SELECT person_id, ceil(count(*) / 4.0)::BIGINT AS parts FROM chosen GROUP BY person_id),
-lists AS (
-  SELECT person_id, pmid % parts AS part, string_agg(pmid::VARCHAR, ',' ORDER BY pmid) AS ids
-  FROM chosen JOIN parts USING (person_id) GROUP BY ALL
-)
-SELECT c_custkey AS person_id, coalesce(part, 0) AS part, coalesce(ids, '') AS ids
-FROM customer LEFT JOIN lists ON person_id = c_custkey"""
+lists AS (SELECT person_id, string_agg(pmid::VARCHAR, ',' ORDER BY pmid) AS ids FROM chosen GROUP BY person_id)
+SELECT c_custkey AS person_id, coalesce(ids, '') AS ids FROM customer LEFT JOIN lists ON person_id = c_custkey"""
 
 
 def _editor_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:

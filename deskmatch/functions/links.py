@@ -50,10 +50,11 @@ def query_text(url: Column | str) -> Column:
 
 
 def query_value(url: Column | str, name: str) -> Column:
-    """First non-blank value of a query parameter, decoded; null when absent."""
+    """First non-blank value of a query parameter, decoded; null when absent. Broken escapes stay as they are."""
     named = f"{name}="
     values = F.filter(F.split(query_text(url), "&"), lambda p: p.startswith(named) & (p != named))
-    return F.try_url_decode(F.substring(F.get(values, F.lit(0)), len(named) + 1, 1_000_000))
+    value = F.regexp_replace(F.get(values, F.lit(0)), f"^{name}=", "")
+    return F.try_url_decode(F.regexp_replace(value, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def is_literature_url(url: Column | str) -> Column:
@@ -135,22 +136,15 @@ def parsed_term(term: Column | str) -> Column:
 
 
 def next_page_url(base_url: Column | str, href: Column | str) -> Column:
-    """Base address with its query parameters kept and ``page`` replaced by that of ``href`` (or 1)."""
+    """Base address with ``page`` replaced by that of ``href`` (or 1) at its first place, or added at the end.
+
+    Parameters without value are left out; repeated ones all stay, grouped by name in the order of first use.
+    """
     base = _col(base_url)
-    page = F.coalesce(query_value(href, "page"), F.lit("1"))
-    kept = F.filter(
-        F.split(query_text(base), "&"),
-        lambda p: (p != "") & ~p.startswith("page=") & ~p.endswith("=") & p.contains("="),
-    )
-    had_page = F.exists(F.split(query_text(base), "&"), lambda p: p.startswith("page=") & (p != "page="))
-    page_pair = F.concat(F.lit("page="), page)
-    # the page keeps its place among the parameters when the base has one, else it goes last
-    in_place = F.filter(
-        F.transform(
-            F.split(query_text(base), "&"),
-            lambda p: F.when(p.startswith("page="), page_pair).when(p.contains("=") & ~p.endswith("="), p),
-        ),
-        lambda p: p.isNotNull(),
-    )
-    pairs = F.when(had_page, F.array_distinct(in_place)).otherwise(F.concat(kept, F.array(page_pair)))
-    return F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), F.lit("?"), F.array_join(pairs, "&"))
+    page = F.concat(F.lit("page="), F.coalesce(query_value(href, "page"), F.lit("1")))
+    pairs = F.filter(F.split(query_text(base), "&"), lambda p: p.contains("=") & ~p.endswith("="))
+    names = F.array_distinct(F.transform(pairs, lambda p: F.substring_index(p, "=", 1)))
+    grouped = F.flatten(F.transform(names, lambda n: F.when(n == "page", F.array(page)).otherwise(
+        F.filter(pairs, lambda p: F.substring_index(p, "=", 1) == n))))
+    every = F.when(F.array_contains(names, "page"), grouped).otherwise(F.array_append(grouped, page))
+    return F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), F.lit("?"), F.array_join(every, "&"))

@@ -24,8 +24,3 @@ def latest_import(df: DataFrame, keys: Sequence[str], *ties: str) -> DataFrame:
     order = [F.desc_nulls_last("provenance.imported_timestamp"), *[F.desc_nulls_last(t) for t in ties]]
     return latest_per_key(df, keys, order)
 
-
-def newest_import_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows of the newest import per key, for imports that hold several rows per key."""
-    newest = df.groupBy(*keys).agg(F.max("provenance.imported_timestamp").alias("_newest"))
-    return df.join(newest, list(keys)).filter(F.col("provenance.imported_timestamp") == F.col("_newest")).drop("_newest")

@@ -37,6 +37,18 @@ def exact_median(
         .groupBy(*keys, "_n", zone.alias("_zone"), F.when(zone == 0, F.col("_v")).alias("_v"))
         .agg(F.count("_v").alias("_w"))
     )
+    found = _middle(counted, keys)
+    missed = (F.col("_n") > 0) & (F.col("_lo").isNull() | F.col("_hi").isNull())
+    # a group whose middle lies outside its bracket is counted in full
+    again = found.filter(missed).select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_n")
+    equal = reduce(lambda a, b: a & b, [data[k].eqNullSafe(again[f"_g{i}"]) for i, k in enumerate(keys)])
+    every = data.join(again, equal).groupBy(*keys, "_n", "_v").agg(F.count("_v").alias("_w")).withColumn("_zone", F.lit(0))
+    both = found.filter(~missed).unionByName(_middle(every, keys))
+    return both.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(alias))
+
+
+def _middle(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The two middle values of each group from counts per value, ordered by zone and value."""
     up_to = Window.partitionBy(*keys).orderBy("_zone", "_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("_end", F.sum("_w").over(up_to))
 
@@ -46,9 +58,4 @@ def exact_median(
 
     low = F.expr("(_n + 1) div 2")
     high = F.expr("_n div 2 + 1")
-    found = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), at(low).alias("_lo"), at(high).alias("_hi"))
-    missed = (F.col("_n") > 0) & (F.col("_lo").isNull() | F.col("_hi").isNull())
-    median = F.when(missed, F.raise_error(F.lit("median outside its bracket")).cast("double")).otherwise(
-        (F.col("_lo") + F.col("_hi")) / 2
-    )
-    return found.select(*keys, median.alias(alias))
+    return ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), at(low).alias("_lo"), at(high).alias("_hi"))

@@ -8,11 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_members(df: DataFrame, column: str, members: DataFrame, member_column: str | None = None) -> DataFrame:
-    ids = members.select(F.col(member_column or column).alias(column)).distinct()
-    return df.join(ids, column, "left_semi")
-
-
 def drop_members(df: DataFrame, column: str, members: DataFrame, member_column: str | None = None) -> DataFrame:
     """Rows whose value is not listed; a null value is never listed, so it stays."""
     ids = members.select(F.col(member_column or column).alias(column)).distinct()

@@ -11,9 +11,8 @@ from pyspark.sql.window import Window
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-# a key is hot when it holds more than 1/HOT_SHARE of the rows, so there are at most HOT_SHARE hot keys
-HOT_SHARE = 256
-MAX_SALTS = 64
+# rows of one key that one task takes; a key with more is hot and spread over as many tasks as it needs
+ROWS_PER_TASK = 1_000_000
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -32,17 +31,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(sizes: DataFrame, key: str, size: str) -> DataFrame:
+def hot_keys(sizes: DataFrame, key: str, size: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """From one row per key with its row count: the hot keys and the number of salts for each.
 
-    Only keys above a 1/HOT_SHARE share are returned, so the result has fewer than HOT_SHARE rows.
+    There are at most (all rows / ``rows_per_task``) hot keys, one per million rows by default.
     """
-    total = sizes.agg(F.sum(size)).scalar()
-    share = F.col(size) / total
-    return (
-        sizes.filter(share > F.lit(1.0 / HOT_SHARE))
-        .select(key, F.least(F.lit(MAX_SALTS), F.ceil(share * F.lit(HOT_SHARE)).cast("int")).alias("salts"))
-    )
+    salts = F.ceil(F.col(size) / F.lit(rows_per_task)).cast("int")
+    return sizes.filter(F.col(size) > rows_per_task).select(key, salts.alias("salts"))
 
 
 def salted_join(
@@ -51,9 +46,10 @@ def salted_join(
     """Equi-join on ``key`` where hot keys of ``large`` are spread over several tasks.
 
     Rows of ``large`` take a salt from ``spread_by``; the matching rows of ``small`` are repeated
-    once per salt. ``hot`` comes from :func:`hot_keys`, so its broadcast is bounded.
+    once per salt. ``hot`` comes from :func:`hot_keys`; it is small against the rows, and Spark broadcasts
+    it only if its measured size allows.
     """
-    hot = F.broadcast(hot.select(F.col(key), F.col("salts").alias("_salts")))
+    hot = hot.select(F.col(key), F.col("salts").alias("_salts"))
     salt = F.when(F.col("_salts") > 1, F.pmod(F.xxhash64(*spread_by), F.col("_salts")).cast("int")).otherwise(0)
     left = large.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
     last = F.coalesce(F.col("_salts"), F.lit(1)) - 1

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from deskmatch.functions.arrays import distinct_present, first, joined, or_empty, pick_ordered
 from deskmatch.functions.text import contains, manuscript_id_from_doi
-from deskmatch.operators.latest import latest_import, newest_import_rows
+from deskmatch.operators.latest import latest_import
 from deskmatch.operators.scale import spread_nulls
 
 # fixed values: points per matching trait of an author
@@ -107,12 +107,11 @@ def flag_candidates(candidates: DataFrame, history: DataFrame) -> DataFrame:
     asked = candidates.select("author_orcid", "institution").filter(
         F.col("author_orcid").isNotNull() & (F.col("institution") != "")
     ).distinct()
+    # no row: nothing is known of the ORCID's earlier affiliations
     seen = (
-        history.join(asked, "author_orcid")
-        .filter(F.instr(F.col("affiliation_string"), F.col("institution")) > 0)
-        .select(F.col("author_orcid").alias("_orcid"), F.col("institution").alias("_institution"))
-        .distinct()
-        .withColumn("_seen", F.lit(True))
+        history.filter(F.col("affiliation_string").isNotNull()).join(asked, "author_orcid")
+        .groupBy(F.col("author_orcid").alias("_orcid"), F.col("institution").alias("_institution"))
+        .agg(F.max(F.instr(F.col("affiliation_string"), F.col("institution")) > 0).alias("_seen"))
     )
     key = spread_nulls(F.col("author_orcid"), "person_id", "pmid")
     flagged = candidates.withColumn("_key", key)
@@ -132,7 +131,7 @@ def flag_candidates(candidates: DataFrame, history: DataFrame) -> DataFrame:
         contains(affiliation, "primary_address.country").alias("has_matching_country"),
         contains(affiliation, "primary_address.city").alias("has_matching_city"),
         contains(affiliation, "primary_address.postal_code").alias("has_matching_postal_code"),
-        F.coalesce("_seen", F.lit(False)).alias("has_matching_previous_affiliation"),
+        F.col("_seen").alias("has_matching_previous_affiliation"),
     )
 
 
@@ -174,7 +173,7 @@ def paper_details(
     ``dedupe`` keeps the newest import per editor and paper; without it each import of a paper counts.
     """
     if dedupe:
-        pubmed_ids = newest_import_rows(pubmed_ids, ["person_id"])
+        pubmed_ids = latest_import(pubmed_ids, ["person_id"])
         summaries = latest_import(summaries, ["pmid"], "doi")
     authors = paper_authors(summaries)
     candidates = author_candidates(enriched_editors(profiles, pubmed_ids, persons), authors)
@@ -245,31 +244,18 @@ def selected_papers(priorities: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 
 def as_id_lists(
-    persons: DataFrame, selected: DataFrame, ids: str = "pmid", alias: str = "disambiguated_pubmed_ids",
-    max_per_row: int = 10_000, spread: Column | None = None,
+    persons: DataFrame, selected: DataFrame, ids: str = "pmid", alias: str = "disambiguated_pubmed_ids"
 ) -> DataFrame:
-    """Selected ids per person as a sorted list, empty when none.
-
-    A person with more than ``max_per_row`` ids gets several rows, numbered by ``part``, so no row and
-    no task has to hold an unbounded list. ``spread`` is a non-negative number per id.
-    """
-    sizes = selected.groupBy("person_id").agg(F.ceil(F.count(F.lit(1)) / max_per_row).cast("bigint").alias("_parts"))
-    number = F.pmod(F.xxhash64(ids), F.lit(2**31)) if spread is None else spread
-    lists = (
-        selected.join(sizes, "person_id")
-        .groupBy("person_id", F.pmod(number, F.col("_parts")).alias("part"))
-        .agg(F.array_sort(F.collect_list(ids)).alias(alias))
-    )
-    return persons.join(lists, "person_id", "left").withColumns(
-        {"part": F.coalesce("part", F.lit(0)), alias: or_empty(alias)}
-    )
+    """One row per person with the sorted list of selected ids, empty when none; a list is one person's papers."""
+    lists = selected.groupBy("person_id").agg(F.array_sort(F.collect_list(ids)).alias(alias))
+    return persons.join(lists, "person_id", "left").withColumn(alias, or_empty(alias))
 
 
 def editor_publications(
     selected: DataFrame, links: DataFrame, pubmed_ids: DataFrame, summaries: DataFrame, doi_prefix: str
 ) -> DataFrame:
     """Selected papers with identifiers, date and where they came from: (person_id, publication_id, …)."""
-    newest_ids = newest_import_rows(pubmed_ids, ["person_id"])
+    newest_ids = latest_import(pubmed_ids, ["person_id"])
     papers = latest_import(summaries, ["pmid"], "doi").select("pmid", "doi", "firstPublicationDate")
 
     def listed(df, array, flag):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmatch import schemas
-from deskmatch.operators.latest import newest_import_rows
+from deskmatch.operators.latest import latest_import
 from deskmatch.plans import daily, disambiguation, forecast, harvest, recommend, reports, stats, submissions
 from deskmatch.sources import landing
 from deskmatch.sources.cleaning import clean_fields
@@ -30,8 +30,8 @@ REPORTS = {
 
 
 def _append_new(tables: Tables, rows: DataFrame, name: str) -> int:
-    """Appends unless there is nothing new."""
-    return 0 if rows.isEmpty() else tables.save(rows, name, APPEND)
+    """Appends; nothing new changes nothing."""
+    return tables.save(rows, name, APPEND)
 
 
 # --- paper harvest ----------------------------------------------------------------------------
@@ -47,12 +47,12 @@ def _existing_ids(tables: Tables) -> DataFrame:
 
 
 def _id_rows(wanted: DataFrame, found: DataFrame, source: str, as_of: Column) -> DataFrame:
-    """Import rows per wanted editor; long lists are spread over several rows."""
+    """One import row per wanted editor."""
     ids = found.filter(F.col("pmid").isNotNull()).select("person_id", "pmid").distinct()
     persons = wanted.select("person_id", "name", "pubmed_url").join(
         found.select("person_id").distinct(), "person_id", "left_semi"
     )
-    lists = disambiguation.as_id_lists(persons, ids, alias="pubmed_ids").drop("part")
+    lists = disambiguation.as_id_lists(persons, ids, alias="pubmed_ids")
     return with_provenance(lists, source, as_of)
 
 
@@ -72,7 +72,7 @@ def import_search_ids(tables: Tables, responses: DataFrame, as_of: Column, limit
 
 def snapshot_ids(tables: Tables) -> DataFrame:
     """Newest import per editor as a view and its stored copy."""
-    return tables.snapshot(newest_import_rows(tables.output(PAPER_IDS), ["person_id"]), PAPER_IDS)
+    return tables.snapshot(latest_import(tables.output(PAPER_IDS), ["person_id"], "provenance.source"), PAPER_IDS)
 
 
 def _summaries(tables: Tables) -> DataFrame:

@@ -16,8 +16,11 @@ def compression_for(path: str) -> str:
     return "gzip" if path.endswith(".gz") else "none"
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    reader = spark.read.option("header", True).option("sep", separator_for(path)).option("multiLine", True)
+def read_delimited(
+    spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False
+) -> DataFrame:
+    """``multi_line`` is for files with line breaks inside quotes; such files cannot be split over tasks."""
+    reader = spark.read.option("header", True).option("sep", separator_for(path)).option("multiLine", multi_line)
     reader = reader.option("escape", '"')
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 

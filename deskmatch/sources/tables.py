@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from deskmatch.operators.scale import materialise
 from deskmatch.sources.evolve import align_to, merge_schemas
 
 LOG = logging.getLogger(__name__)
@@ -73,7 +74,7 @@ def with_provenance(df: DataFrame, source: str, as_of: Column | None = None) ->
 def save_table(df: DataFrame, name: str, mode: str = FAIL) -> int:
     """Write a catalog table and return the number of rows written.
 
-    ``replace`` overwrites, ``append`` adds rows and new columns, ``fail`` writes only when the
+    ``replace`` overwrites, ``append`` adds rows, new columns and new nested fields, ``fail`` writes only when the
     table is missing or empty. The row count is observed during the write.
     """
     if mode not in (REPLACE, APPEND, FAIL):
@@ -83,20 +84,24 @@ def save_table(df: DataFrame, name: str, mode: str = FAIL) -> int:
     if mode == FAIL and exists and not spark.table(name).isEmpty():
         raise ValueError(f"table is not empty: {name}")
     started = time.monotonic()
+    counted = Observation()
+    observe = lambda frame: frame.observe(counted, F.count(F.lit(1)).alias("rows"))
     if mode == APPEND and exists:
         existing = spark.table(name).schema
         wanted = merge_schemas(existing, df.schema)
-        added = [f for f in wanted.fields if f.name.lower() not in {n.lower() for n in existing.names}]
-        if added:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
-        df = align_to(df, merge_schemas(spark.table(name).schema, df.schema, nested=False))
-    counted = Observation()
-    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    if mode == APPEND and exists:
-        observed.write.mode("append").insertInto(name)
+        known = {f.name.lower(): f for f in existing.fields}
+        if any(f.name.lower() in known and f.dataType != known[f.name.lower()].dataType for f in wanted.fields):
+            # a catalog cannot add fields inside a column, so the table is written anew with the merged schema
+            before = materialise(align_to(spark.table(name), wanted), "append")
+            observe(align_to(df, wanted)).unionByName(before).write.mode("overwrite").saveAsTable(name)
+        else:
+            added = [f for f in wanted.fields if f.name.lower() not in known]
+            if added:
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+            observe(align_to(df, spark.table(name).schema)).write.mode("append").insertInto(name)
     else:
-        observed.write.mode("overwrite").saveAsTable(name)
+        observe(df).write.mode("overwrite").saveAsTable(name)
     rows = counted.get["rows"]
     LOG.info("wrote %d rows to %s in %.1f seconds", rows, name, time.monotonic() - started)
     return rows

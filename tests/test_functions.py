@@ -180,3 +180,13 @@ def test_recommended_person(spark):
 
 def test_date_type(value):
     assert value(day("2020-01-01")) == date(2020, 1, 1)
+
+
+def test_query_values_whole_and_broken(value):
+    long = "x" * 1_200_000
+    assert value(links.query_value(F.lit("http://h/p?term=" + long), "term")) == long
+    assert value(links.query_value(F.lit("http://h/p?term=50%+a%20b"), "term")) == "50% a b"
+
+
+def test_repeated_parameters_stay(value):
+    assert value(links.next_page_url(F.lit("http://h/p?a=1&a=1&page=3&b=2&page=4&a=5&c="), F.lit("?page=9"))) == "http://h/p?a=1&a=1&a=5&page=9&b=2"

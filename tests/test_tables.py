@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,7 +71,7 @@ def test_delimited_files(spark, tmp_path):
     for name in ("f.tsv", "f.tsv.gz", "f.csv"):
         path = str(tmp_path / name)
         files.write_delimited(df, path)
-        assert sorted(map(str, files.read_delimited(spark, path, df.schema).collect())) == sorted(map(str, df.collect()))
+        assert sorted(map(str, files.read_delimited(spark, path, df.schema, multi_line=True).collect())) == sorted(map(str, df.collect()))
 
 
 def test_json_lines_keep_quoted_numbers(spark, tmp_path):
@@ -133,3 +135,29 @@ def test_keyword_responses(value):
     assert value(landing.keyword_request(F.lit("text"))) == (
         '{"data":[{"type":"extract-keyword-request","attributes":{"content":"text"}}]}'
     )
+
+
+def test_bibliography_pages_that_are_not_well_formed(value):
+    page = ('<body><div id="a"><i class="pmid">1</i></div><div class="x citations"><div><span class="pmid">ID: 21<span></div>'
+            '<div><span class="pmid">ID:\n22<span></div><div><div class="pmid"> 23</div> 7</div></div><div class="other"><i class="pmid">99</i></div>')
+    assert value(landing.cited_ids(F.lit(page))) == ["21", "22", "23"]
+    assert value(landing.cited_ids(F.lit('<div class="nocitations"><b class="pmid">1</b></div>'))) == []
+    assert value(landing.cited_ids(F.lit('<div class="citations"><p class="pmid">' + "x <b>5</b> " * 20000))) == ["5"]
+    later = '<form id="pager"><a class="nextPage" href="?page=3">n</a></form><a class="nextPage enabled" href="?page=4">n</a>'
+    assert value(landing.next_page(F.lit(later), F.lit("http://host/p"))) is None
+
+
+def test_append_keeps_nested_fields(spark):
+    tables = Tables(spark, "default", "default", "nest_")
+    first = frame(spark, [(1, (1,), [(1,)])], "id int, st struct<a:int>, ar array<struct<x:int>>")
+    second = frame(spark, [(2, (2, "new"), [(2, 3)], "top")], "id int, st struct<a:int,b:string>, ar array<struct<x:int,y:int>>, extra string")
+    assert tables.save(first, "t", APPEND) == 1 and tables.save(second, "t", APPEND) == 1 and tables.save(first, "t", APPEND) == 1
+    rows = sorted(tables.output("t").collect(), key=lambda r: (r.id, str(r)))
+    assert [(r.id, tuple(r.st), [tuple(x) for x in r.ar], r.extra) for r in rows] == [
+        (1, (1, None), [(1, None)], None), (1, (1, None), [(1, None)], None), (2, (2, "new"), [(2, 3)], "top")]
+    assert tables.save(second.limit(0), "t", APPEND) == 0 and tables.output("t").count() == 3
+
+
+def test_maps_and_lists_of_lists_are_cleaned(spark):
+    df = frame(spark, [({"k": "", "j": "v"}, {"k": ""}, [[("",)]])], "m map<string,string>, e map<string,string>, l array<array<struct<s:string>>>")
+    assert json.loads(cleaning.as_json_lines(df).first().value) == {"m": {"j": "v"}, "l": [[{}]]}
