@@ -132,8 +132,11 @@ def score_quality(
     """
     sample, totals = labelled_sample(docs, labels, label, learn, per_class, id_column, text_column)
     # at most 2 * per_class rows with at most BUCKETS entries each
-    rows = sample_features(sample).orderBy("doc_id").collect()
-    examples = [(r["label"], np.array(r["bucket"], "i8"), np.array(r["weight"], "f4")) for r in rows]
+    listed = sample_features(sample).orderBy("doc_id").toArrow()
+    examples = [
+        (label.as_py(), bucket.values.to_numpy().astype("i8"), weight.values.to_numpy())
+        for label, bucket, weight in zip(*(listed[c] for c in ("label", "bucket", "weight")))
+    ]
     ones, zeros = totals.get(1, 0), totals.get(0, 0)
     if len({e[0] for e in examples}) == 2:
         scores, bias = train(examples)
