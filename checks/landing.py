@@ -128,23 +128,29 @@ FROM (SELECT DISTINCT unnest(regexp_split_to_array(text, '[^\p{L}]+')) AS word F
 
 
 def html_extract(spark, sf_dir) -> DataFrame:
-    """Pages wrapped as bibliography pages with two cited articles and a pager."""
-    key = _text("page_id")
-    wrapped = F.concat(
-        F.lit('<div id="top"><span class="pmid">1</span></div><div class="main citations"><span class="pmid">PMID: <b>'),
-        key, F.lit("</b> v12</span>"), F.col("html"),
-        F.lit('<li class="item pmid">'), _text(F.length("html")), F.lit(" of\n"), key, F.lit(" end</li></div>"),
-        F.lit('<div id="pager"><a class="nextPage enabled" href="?a=1&amp;page='), key, F.lit('">next</a></div>'),
+    """Pages read as bibliography pages: paragraphs are the cited articles, the article element is the block,
+    the addresses of its links give the next page. The ids are numbers of the pages' own texts."""
+    html = F.replace(F.replace(F.col("html"), F.lit("<p>"), F.lit('<p class="x pmid">')), F.lit("<article>"), F.lit('<article class="citations">'))
+    pager = F.concat(
+        F.lit('<ul id="pager"><li><a class="nextPage enabled" href="?a=1&amp;page='), _text(F.length("html")), F.lit('">next</a></li></ul>'),
+        F.lit('<a class="nextPage enabled" href="?page=0">other</a>'),
     )
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", wrapped.alias("html"))
-    return pages.select(
-        "page_id", F.array_join(landing.cited_ids(F.col("html")), ",").alias("ids"),
-        landing.next_page(F.col("html"), F.lit("http://host/path?sortby=pubDate&page=1")).alias("next_page"),
+    return table(spark, sf_dir, "pages").select(
+        "page_id", F.array_join(F.transform(landing.cited_ids(html), lambda x: F.coalesce(x, F.lit("-"))), ",").alias("ids"),
+        landing.next_page(F.when(F.col("page_id") % 3 > 0, F.concat(html, pager)).otherwise(html),
+                          F.lit("http://host/path?sortby=pubDate&page=1")).alias("next_page"),
     )
 
 
-HTML_SQL = """SELECT page_id, page_id || ',' || page_id AS ids,
-  'http://host/path?sortby=pubDate&page=' || page_id AS next_page FROM pages"""
+HTML_SQL = r"""WITH block AS (
+  SELECT page_id, html, CASE WHEN contains(html, '<article>') THEN string_split(string_split(html, '<article>')[2], '</article>')[1] ELSE '' END AS inside FROM pages
+),
+texts AS (
+  SELECT page_id, html, [regexp_replace(regexp_replace(x, '(?s)</(p|div|li|td|tr|ul|ol|form|section|article)\b.*', ''), '<[^>]*>', '', 'g')
+    FOR x IN string_split(inside, '<p>')[2:]] AS parts FROM block
+)
+SELECT page_id, array_to_string([coalesce(nullif(regexp_extract(x, '(?s).*\b(\d+)\b', 1), ''), '-') FOR x IN parts], ',') AS ids,
+  CASE WHEN page_id % 3 > 0 THEN 'http://host/path?sortby=pubDate&page=' || length(html) END AS next_page FROM texts"""
 
 
 def search_landing(spark, sf_dir) -> DataFrame:

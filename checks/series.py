@@ -280,6 +280,20 @@ def _workload(spark, sf_dir) -> DataFrame:
 
 def person_stats(spark, sf_dir) -> DataFrame:
     """Details of all customers with twelve months of figures for those with events."""
+    rows = stats.workload_rows(_workload(spark, sf_dir), F.lit("2024-01-20").cast("timestamp"))
+    return stats.person_details(*_person_tables(spark, sf_dir), stats.workload_stats(rows))
+
+
+def requested_persons(spark, sf_dir) -> DataFrame:
+    """The same for the customers of some nations, asked for by id, some of them twice."""
+    nations = F.col("c_nationkey") % 5 == 2
+    ids = table(spark, sf_dir, "customer").filter(nations).select(F.col("c_custkey").alias("person_id"))
+    wanted = ids.unionByName(ids.filter("person_id % 2 = 0"))
+    as_of = F.lit("2024-01-20").cast("timestamp")
+    return stats.requested_person_details(*_person_tables(spark, sf_dir), _workload(spark, sf_dir), wanted, as_of)
+
+
+def _person_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     customer = table(spark, sf_dir, "customer")
     persons = customer.select(
         F.col("c_custkey").alias("Person_ID"), F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("institution"),
@@ -289,8 +303,7 @@ def person_stats(spark, sf_dir) -> DataFrame:
         F.col("c_custkey").alias("Person_ID"), F.lit("w").alias("Website_URL"), F.lit("p").alias("Pubmed_URL"),
         F.lit(None).cast("string").alias("Dates_Not_Available_CSV"),
     )
-    rows = stats.workload_rows(_workload(spark, sf_dir), F.lit("2024-01-20").cast("timestamp"))
-    return stats.person_details(persons, profiles, stats.workload_stats(rows))
+    return persons, profiles
 
 
 STATS_SQL = """WITH e AS (
@@ -325,6 +338,7 @@ QUERIES = {
     "actual_forecast_merge": actual_forecast_merge,
     "period_totals": period_totals,
     "person_stats": person_stats,
+    "requested_persons": requested_persons,
 }
 SQL = {
     "daily_count": DAILY_COUNT_SQL,
@@ -337,4 +351,5 @@ SQL = {
     "actual_forecast_merge": MERGE_SQL,
     "period_totals": TOTALS_SQL,
     "person_stats": STATS_SQL,
+    "requested_persons": STATS_SQL + " AND c_nationkey % 5 = 2",
 }

@@ -62,19 +62,6 @@ def spread_nulls(key: Column, *by: str) -> Column:
     return F.coalesce(key, F.concat(F.lit("\u0000"), F.xxhash64(*by).cast("string")))
 
 
-def block_product(large: DataFrame, small: DataFrame, blocks: int | None = None) -> DataFrame:
-    """Every row of ``large`` with every row of ``small``, as an equi-join on a block number.
-
-    Only for results that are by definition the full combination. ``large`` is spread over
-    ``blocks`` tasks and ``small`` is repeated once per block, so no task or broadcast has to
-    hold a whole side.
-    """
-    blocks = blocks or int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = large.withColumn("_block", F.pmod(F.xxhash64(*large.columns), F.lit(blocks)).cast("int"))
-    right = small.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return left.join(right, "_block").drop("_block")
-
-
 def number_rows(df: DataFrame, key: str) -> DataFrame:
     """Distinct keys with their position (from 0) in ascending order, without a single-task window.
 

@@ -1,4 +1,4 @@
-"""Matching-profile report: every editor of a role with every open manuscript, and once without one."""
+"""Matching-profile report: editors of a role with the open manuscripts they have a score for."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from deskmatch.functions.arrays import any_field_equals, first, joined
 from deskmatch.functions.dates import whole_days
-from deskmatch.operators.scale import block_product
 from deskmatch.plans.submissions import REVIEWING, SENIOR, is_open_stage
 
 # fixed values: age limits and display texts
@@ -70,25 +69,25 @@ def version_texts(versions: DataFrame, role: ReportRole) -> DataFrame:
 def matching_report(
     editors: DataFrame, versions: DataFrame, recommendations: DataFrame, role: ReportRole, as_of: Column
 ) -> DataFrame:
-    """The report is the full combination by definition; it is built as an equi-join over blocks."""
+    """One row per scored pair of a listed editor and an open version, one per open version without such a
+    score (no editor), and one per editor without a manuscript.
+
+    Pairs without score are not written out: they hold nothing beyond the two lists. Keys are matched first
+    and the wide texts are joined last.
+    """
     listed = editors.filter(F.col("Role_Name") == role.role_name)
     texts = version_texts(open_for_report(versions, as_of), role)
-    rated = recommendations.select(
+    rated = recommendations.filter(F.col("score").isNotNull()).select(
         F.col("version_id").alias("Version_ID"),
         F.col("person_id").alias("Person_ID"),
         F.col("score").alias("Matching_Score"),
         joined("matching_keywords", ", ", "keyword").alias("Matching_Keywords_CSV"),
     )
-    # a version counts as recommended when one of the listed editors has a score for it
-    scored = (
-        rated.filter(F.col("Matching_Score").isNotNull())
-        .join(listed.select("Person_ID"), "Person_ID", "left_semi")
-        .select("Version_ID").distinct().withColumn("_scored", F.lit(True))
-    )
-    texts = texts.join(scored, "Version_ID", "left").withColumn(
-        "Has_Recommendation", F.coalesce("_scored", F.lit(False))
-    ).drop("_scored")
-    matched = block_product(texts, listed).join(rated, ["Version_ID", "Person_ID"], "left")
+    pairs = rated.join(listed, "Person_ID")
+    scored = pairs.join(texts, "Version_ID").withColumn("Has_Recommendation", F.lit(True))
+    unscored = texts.join(pairs.select("Version_ID").distinct(), "Version_ID", "left_anti").withColumn(
+        "Has_Recommendation", F.lit(False))
+    matched = scored.unionByName(unscored, allowMissingColumns=True)
     unselected = listed.withColumn("Has_Recommendation", F.lit(False)).withColumn(
         "Display_Manuscript_Identifier", F.lit(NO_MANUSCRIPT)
     )

@@ -9,7 +9,7 @@ from deskmatch.operators import keywords as kw
 from deskmatch.operators.latest import latest_import, latest_per_key
 from deskmatch.operators.median import exact_median
 from deskmatch.operators.membership import drop_own, keep_known_names, not_in
-from deskmatch.operators.scale import block_product, hot_keys, number_rows, salted_join, spread_nulls
+from deskmatch.operators.scale import hot_keys, number_rows, salted_join, scratch_folder, spread_nulls
 from deskmatch.operators.series import ewma, rolling_mean
 from deskmatch.plans.recommend import recommendation_rows, role_profiles
 from deskmatch.sources.model_store import stored_model
@@ -47,12 +47,6 @@ def test_salted_join_equals_plain_join(spark, no_broadcast):
     assert sorted(salted.collect()) == sorted(plain.collect())
 
 
-def test_block_product(spark, no_broadcast):
-    left, right = spark.range(50).withColumnRenamed("id", "a"), spark.range(7).withColumnRenamed("id", "b")
-    found = sorted((r.a, r.b) for r in block_product(left, right, 5).collect())
-    assert found == [(a, b) for a in range(50) for b in range(7)]
-
-
 def test_spread_nulls_matches_nothing(spark):
     rows = frame(spark, [(1, None), (2, None), (3, "x")], "id int, k string")
     keys = rows.select(spread_nulls(F.col("k"), "id").alias("k")).distinct()
@@ -180,14 +174,6 @@ def test_repeated_keywords(spark):
     assert ranked(spark, [("n1", ["k1"], [0.5])], [["k1", "k1"]])[0][0].score == 1.0
 
 
-def test_all_choices(spark):
-    asked = frame(spark, [(0, ["k1"])], "q int, keywords array<string>")
-    listed = choices(spark, [("n1", ["k1"], [1.0]), ("n2", ["k2"], [1.0])])
-    matches = kw.weighted_matches(asked, listed, "q", "value")
-    rows = kw.with_all_choices(matches, asked, listed, "q", "value").collect()
-    assert {(r.value, r.score, len(r.matching_keywords)) for r in rows} == {("n1", 1.0, 1), ("n2", 0.0, 0)}
-
-
 # --- TF-IDF against brute force ---
 
 
@@ -286,3 +272,17 @@ def test_model_needs_keywords(spark):
 def test_last_person_id(spark):
     rows = frame(spark, [("n", "p1", 1), ("n", "p2", 2), ("n", None, 3)], "name string, person_id string, i int")
     assert kw.last_person_id(rows, "i").first()["person_id"] == "p2"
+
+
+def test_scratch_needs_the_setting(spark):
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_folder(Session(), "x")
+
+
+def test_median_is_exact_beside_a_rough_sketch(spark):
+    rows = frame(spark, [("a", float(v)) for v in range(1001)] + [("b", 5.0)] * 900 + [("b", 6.0)] + [("c", None)], "k string, v double")
+    found = {r.k: r.m for r in exact_median(rows, ["k"], "v", "m", accuracy=3).collect()}
+    assert found == {"a": 500.0, "b": 5.0, "c": None}

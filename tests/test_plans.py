@@ -262,14 +262,13 @@ def test_matching_report(spark):
                   "version_id string, person_id string, score double, matching_keywords array<struct<score: double, keyword: string>>")
     rows = reports.in_report_order(reports.matching_report(editors, versions, rated, reports.SENIOR_REPORT, as_of())).collect()
     assert [(r.Version_ID, r.Person_ID) for r in rows[:1]] == [("v4", "p1")]
-    assert sorted((r.Version_ID or "", r.Person_ID) for r in rows) == [
-        ("", "p1"), ("", "p2"), ("v2", "p1"), ("v2", "p2"), ("v4", "p1"), ("v4", "p2")]
+    assert sorted((r.Version_ID or "", r.Person_ID or "") for r in rows) == [("", "p1"), ("", "p2"), ("v2", ""), ("v4", "p1")]
     texts = {(r.Version_ID, r.Person_ID): r for r in rows}
     assert texts["v4", "p1"].Display_Manuscript_Identifier_With_State == "Lv4 (SE assigned) - T"
-    assert texts["v4", "p2"].Has_Recommendation and texts["v4", "p2"].Matching_Keywords_CSV == ""
+    assert texts["v4", "p1"].Has_Recommendation and texts["v2", None].Matching_Keywords_CSV == ""
     assert texts["v4", "p1"].Matching_Keywords_CSV == "x, y"
     assert texts["v4", "p1"].Senior_Editor_Assigned_Timestamp == ago(days=30)
-    assert texts["v2", "p1"].Display_Manuscript_Identifier_With_State == "Lv2 (no recommendation yet) - T"
+    assert texts["v2", None].Display_Manuscript_Identifier_With_State == "Lv2 (no recommendation yet) - T"
     assert texts[None, "p1"].Display_Manuscript_Identifier_With_State == "~ No Manuscript Selected ~"
     assert texts[None, "p1"].Has_Recommendation is False
 
