@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.common import rounded, table
+from deskmatch.operators.scale import materialise
 from deskmatch.operators.series import ewma, period_sum_to_date, rolling_mean
 from deskmatch.plans import daily, forecast, stats
 
@@ -169,8 +170,8 @@ FROM ahead"""
 
 def actual_forecast_merge(spark, sf_dir) -> DataFrame:
     """The combined table with all of its columns."""
-    actual = _actual(spark, sf_dir)
-    ahead = forecast.additive_forecast(actual, SERIES)
+    actual = materialise(_actual(spark, sf_dir), "series")
+    ahead = materialise(forecast.additive_forecast(actual, SERIES), "forecast")
     merged = daily.combined_table(
         daily.actual_table(actual, SERIES), daily.forecast_table(actual, ahead, SERIES, forecast.MODEL_NAME), SERIES
     )

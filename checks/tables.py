@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ from deskmatch.sources.tables import APPEND, REPLACE, Tables, limited, with_prov
 DATABASE = "default"
 
 
+def _tables(spark) -> Tables:
+    """Names of their own for each run: another session may have left tables in the same warehouse."""
+    return Tables(spark, DATABASE, DATABASE, f"check_{uuid.uuid4().hex}_")
+
+
 def _stamp(text: str):
     return F.lit(text).cast("timestamp")
 
@@ -20,7 +27,7 @@ def _stamp(text: str):
 def table_append_nested(spark, sf_dir) -> DataFrame:
     """Orders saved in three steps; the second brings new nested fields and a new column. Read back with the
     provenance of each step; a missing table reads as an empty one."""
-    tables = Tables(spark, DATABASE, DATABASE, "check_append_")
+    tables = _tables(spark)
     orders = table(spark, sf_dir, "orders")
     plain = orders.select("o_orderkey", F.struct("o_orderstatus").alias("state"), F.array(F.struct("o_custkey")).alias("people"))
     wide = orders.select(
@@ -64,7 +71,7 @@ LATEST_SQL = """SELECT person_id, ids, source FROM (
 
 def snapshot_limited(spark, sf_dir) -> DataFrame:
     """The fifty costliest orders, as a view and its stored copy."""
-    tables = Tables(spark, DATABASE, DATABASE, "check_")
+    tables = _tables(spark)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", (-F.col("o_totalprice")).alias("falling"))
     return tables.snapshot(limited(orders, 50, "falling", "o_orderkey").drop("falling"), "costliest")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deskmatch.functions import links
 from deskmatch.functions.dates import whole_days
 from deskmatch.operators.latest import latest_import
+from deskmatch.operators.scale import spread_nulls
 from deskmatch.operators.membership import drop_members, not_in
 from deskmatch.sources.tables import limited
 
@@ -33,9 +34,11 @@ def parsed_links(profiles: DataFrame, redirects: DataFrame | None = None) -> Dat
     else:
         targets = redirects.select(F.col("url").alias("_url"), F.col("target").alias("_target"))
         own = links.is_literature_url("_url")
-        table = table.join(targets, "_url", "left").withColumn(
+        key = spread_nulls(F.col("_url"), "person_id")  # profiles without address are spread out
+        targets = targets.withColumnRenamed("_url", "_from")
+        table = table.withColumn("_key", key).join(targets, F.col("_key") == F.col("_from"), "left").withColumn(
             "resolved_pubmed_url", F.when(own, F.col("_url")).otherwise(F.coalesce("_target", "_url"))
-        ).drop("_url", "_target")
+        ).drop("_url", "_target", "_key", "_from")
     term = F.nullif(links.search_term("resolved_pubmed_url"), F.lit(""))
     return (
         table.withColumn("search_term", term)

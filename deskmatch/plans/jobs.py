@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from deskmatch import schemas
 from deskmatch.operators.latest import latest_import
+from deskmatch.operators.scale import materialise
 from deskmatch.plans import daily, disambiguation, forecast, harvest, recommend, reports, stats, submissions
 from deskmatch.sources import landing
 from deskmatch.sources.cleaning import clean_fields
@@ -129,7 +130,9 @@ def senior_profiles(tables: Tables) -> DataFrame:
     assignments = submissions.senior_assignments(
         tables.source("mv_Editorial_All_Manuscript_Version"), tables.source("mv_Editorial_Person")
     )
-    training = submissions.senior_training(assignments, _keywords(tables), _editors(tables, submissions.SENIOR))
+    # a chain of joins that the profile build reads several times
+    training = materialise(
+        submissions.senior_training(assignments, _keywords(tables), _editors(tables, submissions.SENIOR)), "training")
     return recommend.role_profiles(
         training, training, recommend.SENIOR_ROLE, ("manuscript_id", "version_id"),
         excluded=tables.source("keyword_exclusion"),
@@ -152,7 +155,7 @@ def reviewing_profiles(tables: Tables, latest_ids: DataFrame, doi_prefix: str) -
         assignments, _keywords(tables), _editors(tables, submissions.REVIEWING), publications, papers
     )
     return recommend.role_profiles(
-        training, assigned, recommend.REVIEWING_ROLE, ("manuscript_id", "version_id"),
+        materialise(training, "training"), assigned, recommend.REVIEWING_ROLE, ("manuscript_id", "version_id"),
         excluded=tables.source("keyword_exclusion"),
     )
 
@@ -176,7 +179,7 @@ def update_report(tables: Tables, role: str, as_of: Column) -> int:
         tables.source("mv_Editorial_Editor_Profile"), tables.source("mv_manuscript_version"),
         tables.output(RECOMMENDATIONS[role]), shape, as_of,
     )
-    return tables.save(reports.in_report_order(report), name, REPLACE)
+    return tables.save(report, name, REPLACE)
 
 
 def person_details(tables: Tables, wanted: DataFrame, as_of: Column) -> DataFrame:
@@ -194,8 +197,9 @@ def forecast_metric(tables: Tables, metric: DataFrame, name: str, series: tuple[
 
     ``series`` names the key columns of the metric; a single series needs a constant one.
     """
-    actual = daily.as_series(metric, series)
-    ahead = forecast.additive_forecast(actual, series)
+    # one row per day: everything below starts from the stored series and its stored forecast
+    actual = materialise(daily.as_series(metric, series), "series")
+    ahead = materialise(forecast.additive_forecast(actual, series), "forecast")
     table = daily.combined_table(
         daily.actual_table(actual, series), daily.forecast_table(actual, ahead, series, forecast.MODEL_NAME), series
     )

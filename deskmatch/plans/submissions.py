@@ -9,6 +9,7 @@ from deskmatch.functions.arrays import has_items, joined, max_field
 from deskmatch.functions.dates import whole_days
 from deskmatch.functions.text import manuscript_id_from_doi
 from deskmatch.operators.latest import latest_import, latest_per_key
+from deskmatch.operators.scale import spread_nulls
 from deskmatch.operators.membership import drop_members, keep_known_names
 
 # fixed values: stages, relations, site and age limits of the editorial tables
@@ -79,7 +80,11 @@ def _assignments(versions: DataFrame, related: DataFrame, persons: DataFrame, ho
         joined("Keywords", "|", "Keyword").alias("person_keywords"),
         joined("Subject_Areas", "|", "Subject_Area_Name").alias("person_subject_areas"),
     )
-    result = version.join(related, "version_id", how).join(person, "person_id", how)
+    result = version.join(related, "version_id", how)
+    # versions without an editor are spread out; they match nobody
+    key = spread_nulls(F.col("person_id").cast("string"), "version_id")
+    named = person.withColumnRenamed("person_id", "_person")
+    result = result.withColumn("_key", key).join(named, F.col("_key") == F.col("_person").cast("string"), how)
     if how == "left":
         # a version without a known person has empty lists, not unknown ones
         lists = ("person_roles", "person_keywords", "person_subject_areas")
