@@ -8,6 +8,7 @@ space, so the ids of a text are the ids of its words, one after the other.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -15,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,8 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 BEFORE_SPACE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 #: texts of one block together, in characters; one longer text is a block of its own
 BLOCK_CHARS = 16_000_000
-#: entries of one of the two generations of a worker's cache
-CACHE_WORDS = 500_000
+#: entries of one of the two generations of each of a worker's two caches
+CACHE_WORDS = 300_000
 
 
 @lru_cache(maxsize=4)
@@ -40,6 +42,15 @@ def tokenizer(path: str):
     return loaded
 
 
+@lru_cache(maxsize=4)
+def _is_byte_level(path: str) -> bool:
+    """Whether PARTS is how the file cuts texts: a byte-level pre-tokenizer with its own pattern and no normalizer."""
+    with open(path, encoding="utf-8") as file:
+        known = json.load(file)
+    cut = known.get("pre_tokenizer") or {}
+    return not known.get("normalizer") and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+
+
 @lru_cache(maxsize=2)
 def id_bytes(path: str) -> dict[int, bytes]:
     """The id-to-piece table: each id with its bytes. As many entries as the vocabulary."""
@@ -73,19 +84,20 @@ def words(text: str) -> list[str]:
     return [first, *(" " + word for word in rest)]
 
 
-class WordIds(dict):
-    """Ids of `" " + key` as bytes, filled on demand. A full cache becomes the older generation, from which
-    words that are met again are taken over, so frequent words stay."""
+#: the byte-level pre-tokenizer's pattern, and the characters on which all regular expression libraries agree about it
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
 
-    def __init__(self, path: str, limit: int = CACHE_WORDS):
-        super().__init__()
-        self.tokenizer, self.limit, self.older = tokenizer(path), limit, {}
 
-    def encoded(self, word: str) -> bytes:
-        return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+class Generations(dict):
+    """A bounded cache: when full it becomes the older generation, from which what is met again is taken over."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
 
     def __missing__(self, key: str) -> bytes:
-        found = self.older.get(key) or self.encoded(" " + key)
+        found = self.older.get(key) or self.found(key)
         if len(key) <= 64:
             if len(self) >= self.limit:
                 self.older = dict(self)
@@ -93,6 +105,35 @@ class WordIds(dict):
             self[key] = found
         return found
 
+
+class PartIds(Generations):
+    """Ids of a part of a word as the pre-tokenizer cuts it."""
+
+    def __init__(self, path: str, limit: int):
+        super().__init__(limit)
+        self.tokenizer = tokenizer(path)
+
+    def found(self, key: str) -> bytes:
+        return packed(self.tokenizer.encode(key, add_special_tokens=False).ids)
+
+
+class WordIds(Generations):
+    """Ids of `" " + key`. A new word of plain characters takes those of its parts, which recur in other words."""
+
+    def __init__(self, path: str, limit: int = CACHE_WORDS):
+        super().__init__(limit)
+        self.parts = PartIds(path, limit)
+        self.special = [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
+        self.by_parts = _is_byte_level(path)
+
+    def encoded(self, word: str) -> bytes:
+        return self.parts.found(word)
+
+    def found(self, key: str) -> bytes:
+        if self.by_parts and PLAIN.fullmatch(key) and not any(mark in key for mark in self.special):
+            return b"".join(map(self.parts.__getitem__, PARTS.findall(" " + key)))
+        return self.encoded(" " + key)
+
     def text_ids(self, text: str) -> bytes:
         """All ids of a text."""
         if not text:
