@@ -29,7 +29,7 @@ BEFORE_SPACE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 #: texts of one block together, in characters; one longer text is a block of its own
 BLOCK_CHARS = 16_000_000
 #: entries of one of the two generations of each of a worker's two caches
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 
 
 @lru_cache(maxsize=4)

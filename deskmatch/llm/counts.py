@@ -17,7 +17,7 @@ from deskmatch.llm.bpe import tokenizer
 from deskmatch.llm.common import columns, id_and_text
 
 #: entries of the broadcast table, entries each task offers for it, and of a worker's cache of further words
-FREQUENT, OFFERED, CACHED = 32_768, 16_384, 300_000
+FREQUENT, OFFERED, CACHED = 32_768, 16_384, 200_000
 #: longer words are encoded where they stand, so that tables hold short keys only
 KEY_BYTES = 64
 

@@ -32,7 +32,7 @@ SKETCH_BITS = 1024
 MISSED = 1e-7
 #: similarity below the threshold by which a sketch may underrate a pair (over five standard deviations)
 SKETCH_MARGIN = 0.13
-CACHED = 400_000
+CACHED = 150_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 

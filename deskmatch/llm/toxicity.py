@@ -152,7 +152,7 @@ class Starts(dict):
 
     def __missing__(self, word: str) -> tuple[str, ...]:
         found = tuple(word[:n] for n in BEGINNINGS if len(word) > n and word[:n] in self.weighted)
-        if len(self) >= 300_000:
+        if len(self) >= 100_000:
             self.clear()
         if len(word) <= 64:
             self[word] = found
