@@ -357,7 +357,11 @@ def test_whole_flow(spark, flow, tmp_path):
     assert written == rows.count() > 40
     assert rows.filter("version_id = 'v1' and person_id = 's1'").count() == 0
     assert jobs.recommend_editors(flow, model_path, recommend.REVIEWING_ROLE, as_of(), limit=3) <= 6
-    assert jobs.update_report(flow, recommend.SENIOR_ROLE, as_of()) == 2 * 41
+    shown = jobs.update_report(flow, recommend.SENIOR_ROLE, as_of())
+    report = flow.output("Manuscript_Version_Matching_Editor_Profile")
+    scored = rows.join(report.select(F.col("Version_ID").alias("version_id")).distinct(), "version_id", "left_semi").count()
+    assert report.select("Version_ID").distinct().count() == 41 and report.filter("Version_ID IS NULL").count() == 2
+    assert shown == report.count() == scored + report.filter("Person_ID IS NULL").count() + 2
     series = frame(spark, [("s", dt.date(2024, 1, 1) + dt.timedelta(days=i), i) for i in range(60)], "s string, d date, n int")
     assert jobs.forecast_metric(flow, series, "x", ("s",)) == 60 + 396
     assert len(flow.output("Forecast_x").columns) == 25
