@@ -16,7 +16,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +27,8 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 BEFORE_SPACE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 #: texts of one block together, in characters; one longer text is a block of its own
 BLOCK_CHARS = 16_000_000
-#: entries of one of the two generations of each of a worker's two caches
-CACHE_WORDS = 120_000
+#: entries of one of the two generations of a worker's cache
+CACHE_WORDS = 200_000
 
 
 @lru_cache(maxsize=4)
@@ -42,15 +41,6 @@ def tokenizer(path: str):
     return loaded
 
 
-@lru_cache(maxsize=4)
-def _is_byte_level(path: str) -> bool:
-    """Whether PARTS is how the file cuts texts: a byte-level pre-tokenizer with its own pattern and no normalizer."""
-    with open(path, encoding="utf-8") as file:
-        known = json.load(file)
-    cut = known.get("pre_tokenizer") or {}
-    return not known.get("normalizer") and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
-
-
 @lru_cache(maxsize=2)
 def id_bytes(path: str) -> dict[int, bytes]:
     """The id-to-piece table: each id with its bytes. As many entries as the vocabulary."""
@@ -84,17 +74,58 @@ def words(text: str) -> list[str]:
     return [first, *(" " + word for word in rest)]
 
 
-#: the byte-level pre-tokenizer's pattern, and the characters on which all regular expression libraries agree about it
-PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: fixed value: the byte-level pre-tokenizer's pattern
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: characters on which all regular expression libraries agree about it
 PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
 
 
-class Generations(dict):
-    """A bounded cache: when full it becomes the older generation, from which what is met again is taken over."""
+@lru_cache(maxsize=4)
+def ranks_suffice(path: str) -> bool:
+    """Whether merging the pair of lowest id first gives the ids of the file, so that a rank encoder may stand in.
 
-    def __init__(self, limit: int):
+    It does if the file cuts by PATTERN without a normalizer, ids of merged pieces grow in the order of the
+    merges, and every piece of the vocabulary encodes to itself: then, by induction over the ids, a piece is
+    only ever made of the pair of its merge.
+    """
+    with open(path, encoding="utf-8") as file:
+        known = json.load(file)
+    cut_by, model = known.get("pre_tokenizer") or {}, known["model"]
+    if known.get("normalizer") or cut_by.get("type") != "ByteLevel" or not cut_by.get("use_regex", True) or cut_by.get("add_prefix_space"):
+        return False
+    vocabulary = model["vocab"]
+    merged = [vocabulary.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    single = [i for piece, i in vocabulary.items() if len(piece) == 1]
+    if None in merged or any(a >= b for a, b in zip(merged, merged[1:])) or max(single) >= min(merged):
+        return False
+    added = tokenizer(path).get_added_tokens_decoder()
+    encode = tokenizer(path).model.tokenize
+    return all(i in added or [t.id for t in encode(piece)] == [i] for piece, i in vocabulary.items())
+
+
+class WordIds(dict):
+    """Ids of `" " + key` as bytes, filled on demand. A full cache becomes the older generation, from which
+    words that are met again are taken over, so frequent words stay. With ``by_rank``, the answer of
+    :func:`ranks_suffice`, words of plain characters go through a rank encoder, which is faster."""
+
+    def __init__(self, path: str, limit: int = CACHE_WORDS, by_rank: bool = False):
         super().__init__()
-        self.limit, self.older = limit, {}
+        self.tokenizer, self.limit, self.older, self.ranks = tokenizer(path), limit, {}, None
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [t.content for t in added.values()]
+        if by_rank:
+            import tiktoken
+
+            ranks = {piece: i for i, piece in id_bytes(path).items() if i not in added}
+            self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encoded(self, word: str) -> bytes:
+        return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def found(self, key: str) -> bytes:
+        if self.ranks is not None and PLAIN.fullmatch(key) and not any(mark in key for mark in self.special):
+            return packed(self.ranks.encode_ordinary(" " + key))
+        return self.encoded(" " + key)
 
     def __missing__(self, key: str) -> bytes:
         found = self.older.get(key) or self.found(key)
@@ -105,35 +136,6 @@ class Generations(dict):
             self[key] = found
         return found
 
-
-class PartIds(Generations):
-    """Ids of a part of a word as the pre-tokenizer cuts it."""
-
-    def __init__(self, path: str, limit: int):
-        super().__init__(limit)
-        self.tokenizer = tokenizer(path)
-
-    def found(self, key: str) -> bytes:
-        return packed(self.tokenizer.encode(key, add_special_tokens=False).ids)
-
-
-class WordIds(Generations):
-    """Ids of `" " + key`. A new word of plain characters takes those of its parts, which recur in other words."""
-
-    def __init__(self, path: str, limit: int = CACHE_WORDS):
-        super().__init__(limit)
-        self.parts = PartIds(path, limit)
-        self.special = [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
-        self.by_parts = _is_byte_level(path)
-
-    def encoded(self, word: str) -> bytes:
-        return self.parts.found(word)
-
-    def found(self, key: str) -> bytes:
-        if self.by_parts and PLAIN.fullmatch(key) and not any(mark in key for mark in self.special):
-            return b"".join(map(self.parts.__getitem__, PARTS.findall(" " + key)))
-        return self.encoded(" " + key)
-
     def text_ids(self, text: str) -> bytes:
         """All ids of a text."""
         if not text:
@@ -143,9 +145,9 @@ class WordIds(Generations):
 
 
 @lru_cache(maxsize=2)
-def worker_cache(path: str) -> WordIds:
+def worker_cache(path: str, by_rank: bool) -> WordIds:
     """One cache for each worker process, kept over its tasks."""
-    return WordIds(path)
+    return WordIds(path, by_rank=by_rank)
 
 
 # --- encoding and decoding by a distinct-word table -------------------------------------------------------------------

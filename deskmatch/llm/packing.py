@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from deskmatch.llm.bpe import packed, worker_cache
+from deskmatch.llm.bpe import packed, ranks_suffice, worker_cache
 from deskmatch.llm.common import columns, id_and_text, stored
 
 ROUNDS, STEP, RATE = 300, 0.5, 1.0
@@ -121,10 +121,12 @@ def places(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
 def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int, keep_ids: bool) -> DataFrame:
     """Pieces of all documents, each with its task and its rank among the task's pieces of the same length."""
 
+    by_rank = ranks_suffice(path)
+
     def run(batches):
         task = TaskContext.get().partitionId()
         seen: Counter = Counter()
-        ids_of, end = worker_cache(path).text_ids, packed([end_id])
+        ids_of, end = worker_cache(path, by_rank).text_ids, packed([end_id])
         for doc_ids, texts in columns(batches, "doc_id", "text"):
             rows = []
             for doc_id, text in zip(doc_ids, texts):

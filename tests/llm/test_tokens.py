@@ -22,7 +22,16 @@ def test_words_join_to_the_text_and_encode_alone():
         listed = bpe.words(text or "")
         assert "".join(listed) == (text or "")
         assert [i for word in listed for i in ids_of(word)] == ids_of(text)
-        assert bpe.WordIds(BYTE, limit=3).text_ids(text or "") == bpe.packed(ids_of(text))
+        for by_rank in (False, bpe.ranks_suffice(BYTE)):
+            assert bpe.WordIds(BYTE, limit=3, by_rank=by_rank).text_ids(text or "") == bpe.packed(ids_of(text))
+
+
+def test_rank_encoder_only_where_it_is_the_same():
+    assert bpe.ranks_suffice(BYTE) and not bpe.ranks_suffice(WORD)
+    rng, words = random.Random(5), bpe.WordIds(BYTE, by_rank=True)
+    for _ in range(3000):
+        key = "".join(rng.choice("abcdehinorstuéß'.,#$%&*!<|>09ABTS") for _ in range(rng.randrange(1, 14)))
+        assert words[key] == bpe.packed(ids_of(" " + key))
 
 
 @pytest.mark.parametrize("block", [10, 1_000_000])
