@@ -17,7 +17,6 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from deskmatch.llm.common import columns, id_and_text, labelled_sample
 
