@@ -1,7 +1,8 @@
 """License scan: sparse TF-IDF cosine of sentences and licence files to templates, then inheritance by folder.
 
-Every sentence of a file is a sparse vector of term weights, as are the templates. The file's own licence is
-that of its best sentence; a licence file is compared as a whole as well. A folder has the licence that most
+Every sentence of a file is a sparse vector of term weights, as are the templates; files are counted for every
+term. In a longer sentence each run of terms as long as a template is compared too, if it names what the template
+names. The file's own licence is that of its best sentence; a licence file is compared as a whole as well. A folder has the licence that most
 of its witness files state, and a file without one of its own takes that of its nearest ancestor folder.
 """
 
@@ -9,11 +10,13 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmatch.llm.common import stored
+from deskmatch.operators.scale import hot_keys, salted_join
 
 #: fixed values: short notices by licence
 TEMPLATES = {
@@ -29,6 +32,10 @@ TEMPLATES = {
 }
 #: least cosine of a sentence to a template
 SIMILARITY = 0.75
+#: words of notices that name no licence
+GENERAL = frozenset(
+    "a an and by code for general governed in international is its license licensed of public released software source "
+    "subject terms that the this to under use version work".split())
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
 
@@ -46,15 +53,27 @@ def sentences(text: Column) -> Column:
     return F.split(F.regexp_replace(text, "<[^<>]*>", "\n"), r"[.!?]*[\n\r]+|[.!?]+\s+|[.!?]+$")
 
 
-def document_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str, int], int]:
-    """How many files hold each term of the templates, and the number of files, both over all files."""
-    listed = F.array(*map(F.lit, vocabulary))
-    rows = (
-        files.select(F.explode(F.array_append(F.array_intersect(F.array_distinct(terms(F.col("text"))), listed), F.lit(""))).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
+def document_frequencies(files: DataFrame) -> DataFrame:
+    """(term, n): how many files hold each term; the empty term counts all files."""
+    return (
+        files.select(F.explode(F.array_append(F.array_distinct(terms(F.col("text"))), F.lit(""))).alias("term"))
+        .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     )
-    counted = {r["term"]: r["n"] for r in rows}  # as many rows as the templates have terms
-    return counted, counted.pop("", 0)
+
+
+def telling(text: str) -> list[str]:
+    """The terms of a template that name the licence; all of them where there are only general words."""
+    listed = list(dict.fromkeys(_python_terms(text)))
+    return [t for t in listed if t not in GENERAL] or listed
+
+
+def windows(listed: Column, text: str) -> Column:
+    """The runs of terms as long as a template that hold all its telling terms."""
+    length, names = len(_python_terms(text)), telling(text)
+    named = lambda run: reduce(lambda a, b: a & b, (F.array_contains(run, t) for t in names))
+    starts = F.when(named(listed) & (F.size(listed) > length), F.sequence(F.lit(1), F.size(listed) - length + 1))
+    runs = F.transform(starts, lambda at: F.slice(listed, at, length))
+    return F.coalesce(F.filter(runs, named), F.array().cast("array<array<string>>"))
 
 
 def scan(
@@ -65,6 +84,7 @@ def scan(
 
     ``witness`` is a condition on the path: files that speak for their folder; by default licence files by name.
     Equal scores go to the first licence name; of folder licences stated equally often the first name counts.
+    A sentence must hold a telling term of its template: other weights alone do not name a licence.
     A null or empty text states nothing; a null path has no folder. Files without licence keep null in the last
     four columns. Repeated ids are scanned row by row, and the best sentence of all rows of an id counts for
     each. An empty table gives no rows; other columns are ignored.
@@ -73,17 +93,19 @@ def scan(
     own = files.select(
         F.col(id_column).alias("id"), F.col(path_column).cast("string").alias("path"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     vocabulary = sorted({t for texts in templates.values() for text in texts for t in _python_terms(text)})
-    seen, n_files = document_frequencies(own, vocabulary)
+    frequencies = stored(document_frequencies(own), "frequencies")
+    seen = {r["term"]: r["n"] for r in frequencies.filter(F.col("term").isin("", *vocabulary)).collect()}  # terms of the templates
+    n_files = seen.pop("", 0)
     # smoothed, so terms of no file have the greatest weight
     idf = {t: math.log((1 + n_files) / (1 + seen.get(t, 0))) + 1 for t in vocabulary}
-    unknown = math.log(1 + n_files) + 1
     vectors, rare = [], set()
     for name, texts in templates.items():
         for number, text in enumerate(texts):
             listed = _python_terms(text)
             weights = {t: listed.count(t) * idf[t] for t in listed}
             norm = math.sqrt(sum(w * w for w in weights.values()))
-            vectors += [(name, number, t, w / norm) for t, w in weights.items()]
+            names = telling(text)
+            vectors += [(name, number, t, w / norm, t in names) for t, w in weights.items()]
             # common terms alone stay below the similarity: by Cauchy-Schwarz the cosine is at most the norm
             # of the shared part of the template, so a sentence must hold one of the others
             common = 0.0
@@ -91,21 +113,26 @@ def scan(
                 common += (weights[t] / norm) ** 2
                 if common >= (similarity - 1e-9) ** 2:
                     rare.add(t)
-    template = F.broadcast(spark.createDataFrame(vectors, "license string, number int, term string, weight double"))  # template terms only
+    template = F.broadcast(spark.createDataFrame(vectors, "license string, number int, term string, weight double, telling boolean"))  # template terms only
     needle = "(^|[^a-z0-9])(" + "|".join(re.escape(t) for t in sorted(rare)) + ")([^a-z0-9]|$)"
     parts = own.select("id", F.posexplode(sentences(F.col("text"))).alias("part", "sentence"))
     whole = own.filter(F.col("path").rlike(LICENSE_FILE)).select("id", F.lit(-1).alias("part"), F.col("text").alias("sentence"))
     held = parts.unionByName(whole).filter(F.lower("sentence").rlike(needle))
-    held = held.withColumn("row", F.monotonically_increasing_id())
-    known = F.create_map(*[F.lit(x) for pair in idf.items() for x in pair])
-    words = stored(held.select("id", "row", F.explode(terms(F.col("sentence"))).alias("term"))
-                   .groupBy("id", "row", "term").agg(F.count(F.lit(1)).alias("n"))
-                   .withColumn("weight", F.col("n") * F.coalesce(F.try_element_at(known, F.col("term")), F.lit(unknown))), "terms")
+    listed = held.select("id", terms(F.col("sentence")).alias("terms"))
+    runs = [windows(F.col("terms"), text) for texts in templates.values() for text in texts]
+    spans = listed.select("id", F.explode(F.array_append(F.array_distinct(F.concat(*runs)), F.col("terms"))).alias("terms"))
+    counts = (
+        spans.withColumn("row", F.monotonically_increasing_id()).select("id", "row", F.explode("terms").alias("term"))
+        .groupBy("id", "row", "term").agg(F.count(F.lit(1)).alias("n"))
+    )
+    rarity = frequencies.select("term", (F.log(F.lit(1.0 + n_files) / (1 + F.col("n"))) + 1).alias("idf"))
+    words = stored(salted_join(counts, rarity, hot_keys(frequencies, "term", "n"), "term", ["row"])
+                   .select("id", "row", "term", (F.col("n") * F.col("idf")).alias("weight")), "terms")
     norms = words.groupBy("row").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
     cosines = (
         words.join(template.withColumnRenamed("weight", "template"), "term")
-        .groupBy("id", "row", "license", "number").agg(F.sum(F.col("weight") * F.col("template")).alias("dot"))
-        .join(norms, "row").select("id", "license", (F.col("dot") / F.col("norm")).alias("score"))
+        .groupBy("id", "row", "license", "number").agg(F.sum(F.col("weight") * F.col("template")).alias("dot"), F.max("telling").alias("telling"))
+        .filter("telling").join(norms, "row").select("id", "license", (F.col("dot") / F.col("norm")).alias("score"))
         .filter(F.col("score") >= similarity)
     )
     best = stored(

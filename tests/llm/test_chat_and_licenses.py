@@ -75,3 +75,20 @@ def test_every_template_finds_itself(spark):
     rows = [(n, f"d{n}/f", text) for n, (name, texts) in enumerate(licenses.TEMPLATES.items()) for text in texts[:1]]
     found = scan(spark, rows)
     assert [found[n][0] for n in range(len(licenses.TEMPLATES))] == list(licenses.TEMPLATES)
+
+
+def test_notices_inside_longer_sentences(spark):
+    found = scan(spark, [
+        (1, "a/1", "All files here are released under the MIT License, see www.example.org for more of them"),
+        (2, "b/2", "Unless noted, this crate is licensed under the Apache License, Version 2.0, and patches are welcome"),
+        (3, "c/3", "Photos and texts on these pages are licensed under CC BY-NC 4.0 by Ann"), (4, "d/4", "we talk of the license"),
+        (5, "e/5", "Released under the Foo License."), (6, "f/6", "Foo foo"),
+    ])
+    assert {k: v[0] for k, v in found.items()} == {1: "MIT", 2: "Apache-2.0", 3: "CC-BY-NC-4.0", 4: None, 5: None, 6: None}
+
+
+def test_common_further_words_weigh_little(spark):
+    # "here" stands in every file or in one; no run of five terms is near the notice
+    rows = [(1, "a/1", "Licensed here under here the here MIT here License.")]
+    assert scan(spark, rows + [(n, f"b{n}/f", "here we are") for n in range(2, 60)])[1][0] == "MIT"
+    assert scan(spark, rows + [(n, f"b{n}/f", "we are") for n in range(2, 60)])[1][0] is None
