@@ -92,3 +92,46 @@ def test_common_further_words_weigh_little(spark):
     rows = [(1, "a/1", "Licensed here under here the here MIT here License.")]
     assert scan(spark, rows + [(n, f"b{n}/f", "here we are") for n in range(2, 60)])[1][0] == "MIT"
     assert scan(spark, rows + [(n, f"b{n}/f", "we are") for n in range(2, 60)])[1][0] is None
+
+
+MIT_TEXT = """The MIT License (MIT)
+
+Copyright (c) 2015 Ann Author <ann@example.org>
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in
+all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
+THE SOFTWARE.
+"""
+
+
+def test_full_texts_headers_and_comment_blocks(spark):
+    texts = licenses.full_texts()
+    names = sorted(p for p in texts if len(texts[p][0]) > 600 and p not in licenses.HEADERS or len(texts[p]) > 1)
+    commented = lambda mark: "".join(f"{mark} {line}".rstrip() + "\n" for line in MIT_TEXT.splitlines())
+    header = licenses.HEADERS["GPL-2.0"][0].replace("this program", "Foo").split(". ")
+    rows = [(n, f"t{n}/LICENSE", "Copyright 2020 The Foo Authors\n\n" + texts[name][0]) for n, name in enumerate(names)]
+    rows += [
+        (100, "m/LICENSE", MIT_TEXT), (101, "m/src/a.py", "import os"), (102, "c/a.py", commented("#") + "import os\n"),
+        (103, "d/a.c", "/*\n" + commented(" *") + " */\nint main() {}\n"), (104, "e/a.rs", "//! Foo\n\n" + commented("//") + "fn main() {}"),
+        (105, "f/a.c", "/* foo.c\n\n   " + ".\n   ".join(header) + " */\nint x;"), (106, "g/a.py", "# Released under\n# the MIT License.\nx = 1\n"),
+        (107, "h/a.py", "# " + "\n# ".join(["A comment about the use of this software and the terms of its parts"] * 40)),
+    ]
+    found = scan(spark, rows)
+    assert [found[n][0] for n in range(len(names))] == names
+    assert {n: found[n][0] for n in range(100, 108)} == {
+        100: "MIT", 101: "MIT", 102: "MIT", 103: "MIT", 104: "MIT", 105: "GPL-2.0", 106: "MIT", 107: None}
+    assert found[101][1] == "inherited"
