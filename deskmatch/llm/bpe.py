@@ -14,6 +14,7 @@ import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,8 @@ def words(text: str) -> list[str]:
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: characters on which all regular expression libraries agree about it
 PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
+#: words of such characters, with lone line breaks between them
+PLAIN_LINES = re.compile(rf"(?:{PLAIN.pattern[:-1]}+(?:\n{PLAIN.pattern[:-1]}+)*)?")
 
 
 @lru_cache(maxsize=4)
@@ -104,14 +107,50 @@ def ranks_suffice(path: str) -> bool:
     return all(i in added or [t.id for t in encode(piece)] == [i] for piece, i in vocabulary.items())
 
 
-class WordIds(dict):
-    """Ids of `" " + key` as bytes, filled on demand. A full cache becomes the older generation, from which
-    words that are met again are taken over, so frequent words stay. With ``by_rank``, the answer of
-    :func:`ranks_suffice`, words of plain characters go through a rank encoder, which is faster."""
+class Cached(dict):
+    """Answers of ``found`` by short key. A full cache becomes the older generation, from which keys that
+    are met again are taken over, so frequent ones stay."""
 
-    def __init__(self, path: str, limit: int = CACHE_WORDS, by_rank: bool = False):
+    longest = 64
+
+    def __init__(self, limit: int):
         super().__init__()
-        self.tokenizer, self.limit, self.older, self.ranks = tokenizer(path), limit, {}, None
+        self.limit, self.older = limit, {}
+
+    def found(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        answer = self.older.get(key)
+        if answer is None:
+            answer = self.found(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[key] = answer
+        return answer
+
+
+class LineStarts(Cached):
+    """Ids of a line break and the word after it."""
+
+    def __init__(self, owner: WordIds, limit: int):
+        super().__init__(limit)
+        self.owner = owner
+
+    def found(self, key: str) -> bytes:
+        return packed(self.owner.ranks.encode_ordinary("\n" + key))
+
+
+class WordIds(Cached):
+    """Ids of `" " + key` as bytes, filled on demand. With ``by_rank``, the answer of :func:`ranks_suffice`,
+    words of plain characters go through a rank encoder, which is faster. A new word is put together from
+    cached parts where the pattern always cuts: before closing marks and at a line break between two words."""
+
+    def __init__(self, path: str, limit: int = CACHE_WORDS, by_rank: bool = False):
+        super().__init__(limit)
+        self.tokenizer, self.ranks = tokenizer(path), None
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = re.compile("|".join(re.escape(t.content) for t in added.values()) or r"(?!)")
         if by_rank:
@@ -119,23 +158,24 @@ class WordIds(dict):
 
             ranks = {piece: i for i, piece in id_bytes(path).items() if i not in added}
             self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.after_line, self.marks = LineStarts(self, limit // 8), lru_cache(4096)(self.bare)
 
     def encoded(self, word: str) -> bytes:
         return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def found(self, key: str) -> bytes:
-        if self.ranks is not None and PLAIN.fullmatch(key) and not self.special.search(key):
-            return packed(self.ranks.encode_ordinary(" " + key))
-        return self.encoded(" " + key)
+    def bare(self, marks: str) -> bytes:
+        return packed(self.ranks.encode_ordinary(marks))
 
-    def __missing__(self, key: str) -> bytes:
-        found = self.older.get(key) or self.found(key)
-        if len(key) <= 64:
-            if len(self) >= self.limit:
-                self.older = dict(self)
-                self.clear()
-            self[key] = found
-        return found
+    def found(self, key: str) -> bytes:
+        if self.ranks is None or not PLAIN_LINES.fullmatch(key) or self.special.search(key):
+            return self.encoded(" " + key)
+        if "\n" in key:
+            first, *lines = key.split("\n")
+            return self[first] + b"".join(map(self.after_line.__getitem__, lines))
+        word = key.rstrip(punctuation)
+        if word and len(word) < len(key):
+            return self[word] + self.marks(key[len(word):])
+        return packed(self.ranks.encode_ordinary(" " + key))
 
     def text_ids(self, text: str) -> bytes:
         """All ids of a text."""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmatch.llm import bpe, chat, counts, licenses, near, packing, quality, rules, topk, toxicity
+from deskmatch.llm import bpe, chat, counts, licenses, near, packing, quality, rules, token_files, topk, toxicity
 from deskmatch.llm.common import id_remainder, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -121,11 +121,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as the token files give it back."""
+    docs = table(spark, sf_dir, "documents")
+    folder, manifest = token_files.write_token_files(docs, public_tokenizers.path(WORD_BPE), end_id=2)
+    return token_files.read_documents(folder, manifest, keep_ids=False)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op3_chat": op3_chat,
     "op4_quality_rules": op4_quality_rules, "op5_near_duplicates": op5_near_duplicates,
     "op6_licenses": op6_licenses,
     "op7_token_counts": op7_token_counts, "op8_quality": op8_quality,
     "op9_top_k": op9_top_k, "op10_packing": op10_packing,
+    "op12_token_files": op12_token_files,
 }
 SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_top_k": OP9_SQL}
