@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmatch.llm import bpe, chat, counts, licenses, near, packing, quality, rules, token_files, topk, toxicity
+from deskmatch.llm import bpe, chat, counts, fim, licenses, near, packing, quality, rules, token_files, topk, toxicity
 from deskmatch.llm.common import id_remainder, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -121,6 +121,40 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle example of every document, with the text rebuilt from it."""
+    found = fim.fill_in_middle(table(spark, sf_dir, "documents"), seed=42, percent=50, suffix_first=80)
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d
+), c AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+    greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+  SELECT doc_id, t, n, form, coalesce(array_to_string(units[1:a], ''), '') AS prefix,
+    coalesce(array_to_string(units[a + 1:b], ''), '') AS middle, coalesce(array_to_string(units[b + 1:n], ''), '') AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as the token files give it back."""
     docs = table(spark, sf_dir, "documents")
@@ -134,6 +168,6 @@ QUERIES = {
     "op6_licenses": op6_licenses,
     "op7_token_counts": op7_token_counts, "op8_quality": op8_quality,
     "op9_top_k": op9_top_k, "op10_packing": op10_packing,
-    "op12_token_files": op12_token_files,
+    "op11_fill_in_middle": op11_fill_in_middle, "op12_token_files": op12_token_files,
 }
-SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_top_k": OP9_SQL}
+SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_top_k": OP9_SQL, "op11_fill_in_middle": OP11_SQL}
