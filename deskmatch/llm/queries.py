@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmatch.llm import bpe, chat, counts, fim, licenses, near, packing, quality, rules, token_files, topk, toxicity
+from deskmatch.llm import bpe, chat, counts, fim, licenses, near, packing, phrases, quality, rules, token_files, topk, toxicity
 from deskmatch.llm.common import id_remainder, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -162,6 +162,48 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(folder, manifest, keep_ids=False)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two and three words in each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, top=2000)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d
+), i AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p
+), g AS (
+  SELECT lang, unnest([w[i:i + s - 1] FOR s IN range(1, 4) IF i + s - 1 <= len(w)]) AS g FROM i
+), f AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, len(any_value(g)) AS size, any_value(g) AS g, count(*) AS f
+  FROM g GROUP BY lang, array_to_string(g, ' ')
+), n AS (
+  SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang
+), c AS (
+  SELECT lang, phrase, size, g, f AS a, unnest(range(1, size)) AS k FROM f WHERE size > 1 AND f >= 10
+), s AS (
+  SELECT c.lang, c.phrase, c.size, c.a, c.k, h.f AS l, t.f AS r,
+    (1000000::HUGEINT * c.a * c.a) // (h.f::HUGEINT * t.f) AS score
+  FROM c JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(c.g[1:c.k], ' ')
+    JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(c.g[c.k + 1:], ' ')
+), b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), o AS (
+  SELECT lang, p AS phrase, max(f) AS longer FROM (
+    SELECT lang, f, unnest([array_to_string(g[1:2], ' '), array_to_string(g[2:3], ' ')]) AS p FROM f WHERE size = 3 AND f >= 10
+  ) GROUP BY lang, p
+), r AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase WHERE o.longer IS NULL OR 100 * o.longer < 50 * b.a
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op3_chat": op3_chat,
     "op4_quality_rules": op4_quality_rules, "op5_near_duplicates": op5_near_duplicates,
@@ -169,5 +211,9 @@ QUERIES = {
     "op7_token_counts": op7_token_counts, "op8_quality": op8_quality,
     "op9_top_k": op9_top_k, "op10_packing": op10_packing,
     "op11_fill_in_middle": op11_fill_in_middle, "op12_token_files": op12_token_files,
+    "op13_collocations": op13_collocations,
+}
+SQL: dict[str, str] = {
+    "op3_chat": OP3_SQL, "op9_top_k": OP9_SQL, "op11_fill_in_middle": OP11_SQL,
+    "op13_collocations": OP13_SQL,
 }
-SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_top_k": OP9_SQL, "op11_fill_in_middle": OP11_SQL}
