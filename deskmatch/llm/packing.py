@@ -1,12 +1,13 @@
 """Packing of token sequences: a configuration linear program over the histogram of piece lengths.
 
-Multiplicative weights solve the program; each round prices one configuration (a multiset of lengths that
-fits a sequence) by a knapsack over the capacity. Rounding down leaves a remainder, which is packed best fit
-on the histogram. The solver sees counts per length only, so its size depends on the capacity, not the data.
+Multiplicative weights solve the program; a knapsack over the capacity prices its columns, the configurations
+(multisets of lengths that fit a sequence). Rounding leaves a remainder, which is packed best fit on the
+histogram. The solver sees counts per length only, so its size depends on the capacity, not the data.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 
@@ -20,19 +21,30 @@ from pyspark.sql.window import Window
 from deskmatch.llm.bpe import packed, ranks_suffice, worker_cache
 from deskmatch.llm.common import columns, id_and_text, stored
 
-ROUNDS, STEP, RATE = 300, 0.5, 1.0
+#: rounds of the solver for few and for many lengths, knapsacks of one round, the rate at which prices change, and
+#: how far (in rounds) a length may be covered ahead of time
+ROUNDS, KNAPSACKS, RATE, AHEAD = (100, 20), 12, 0.3, 0.2
+#: the solver ends early when its cover is so close to the bound of its prices
+GAP = 0.001
+TINY = 1e-9
 
 
-def knapsack(prices: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity: int) -> Counter:
-    """The configuration of greatest total price; ``limits`` bounds how often a length is used."""
+def best_totals(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every space up to ``capacity`` the greatest total price of pieces that fit, and the last piece used (-1: none)."""
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1)
     upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for space in range(int(lengths[0]), capacity + 1):
+    for space in range(int(lengths[0]) if len(lengths) else capacity + 1, capacity + 1):
         m = upto[space]
         values = best[space - lengths[:m]] + prices[:m]
         k = m - 1 - int(values[::-1].argmax())  # of equal totals the one with the longest piece
         best[space], choice[space] = values[k], k
+    return best, choice
+
+
+def knapsack(prices: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity: int) -> Counter:
+    """The configuration of greatest total price; ``limits`` bounds how often a length is used."""
+    _, choice = best_totals(prices, lengths, capacity)
     used: Counter = Counter()
     space = capacity
     while space > 0 and choice[space] >= 0:
@@ -43,10 +55,77 @@ def knapsack(prices: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capaci
     return used
 
 
-def configurations(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
+def fractional(histogram: dict[int, int], capacity: int, rounds: int | None = None) -> tuple[dict[tuple[tuple[int, int], ...], float], float]:
+    """Amounts of configurations ((length, times), …) that cover the histogram, and a lower bound for their sum.
+
+    Each round covers a further share of every length. A length that is behind takes the dearest configuration that
+    holds it; a knapsack over the capacity prices them all at once. Lengths that got ahead in a round close, and the
+    knapsack is repeated without them. Prices then change by multiplicative weights: what is covered ahead of its time
+    gets cheaper, what is behind gets dearer. Prices are feasible for the dual once divided by the dearest
+    configuration, so each round gives a lower bound.
+    """
+    sizes = sorted(histogram)
+    lengths, demand = np.array(sizes), np.array([histogram[l] for l in sizes], float)
+    rounds = rounds or max(ROUNDS[1], min(ROUNDS[0], 2000 // len(sizes)))
+    weights, bound = np.ones(len(sizes)), float(demand @ lengths) / capacity
+    missing = np.zeros(len(sizes))  # behind (positive) or ahead
+    amounts: dict[tuple[tuple[int, int], ...], float] = {}
+    for done in range(1, rounds + 1):
+        prices = weights * lengths / capacity
+        missing += demand / rounds
+        short, ahead = missing.tolist(), (-AHEAD / rounds * demand).tolist()
+        todo = [k for k in range(len(sizes) - 1, -1, -1) if short[k] > TINY * histogram[sizes[k]]]
+        for attempt in range(KNAPSACKS):
+            usable = [k for k in range(len(sizes)) if attempt == 0 or short[k] > ahead[k] + TINY]
+            best, choice = best_totals(prices[usable], lengths[usable], capacity)
+            if attempt == 0:
+                bound = max(bound, float(demand @ prices) / best[capacity])
+            choice, later = choice.tolist(), []
+            for k in todo:
+                used, space = {k: 1}, capacity - sizes[k]
+                while space > 0 and choice[space] >= 0:
+                    other = usable[choice[space]]
+                    used[other] = used.get(other, 0) + 1
+                    space -= sizes[other]
+                amount = max(0.0, short[k] / used[k])
+                if attempt < KNAPSACKS - 1:  # the last knapsack covers whatever is left
+                    amount = min([amount, *((short[j] - ahead[j]) / n for j, n in used.items() if j != k)])
+                if amount > 0:
+                    for j, n in used.items():
+                        short[j] -= n * amount
+                    key = tuple((sizes[j], n) for j, n in sorted(used.items(), reverse=True))
+                    amounts[key] = amounts.get(key, 0.0) + amount
+                if short[k] > TINY * histogram[sizes[k]]:
+                    later.append(k)
+            todo = later
+            if not todo:
+                break
+        missing = np.array(short)
+        weights *= np.exp(RATE * np.clip(missing / demand * rounds / done**0.5, -1, 1))
+        weights *= float(demand @ lengths) / float(demand @ (weights * lengths))
+        if sum(amounts.values()) * rounds / done <= (1 + GAP) * bound:
+            return {key: amount * rounds / done for key, amount in amounts.items()}, bound
+    return amounts, bound
+
+
+def rounded(amounts: dict[tuple[tuple[int, int], ...], float], histogram: dict[int, int], capacity: int, up: bool) -> list[tuple[tuple[int, ...], int]]:
+    """Whole sequences of each configuration, never more than there are pieces, and the rest best fit."""
+    rest, plan = dict(histogram), []
+    for key, amount in sorted(amounts.items(), key=lambda entry: (-entry[1], entry[0])):
+        whole = math.ceil(amount - TINY) if up else math.floor(amount + TINY)
+        count = min(whole, *(rest[length] // n for length, n in key))
+        if count > 0:
+            for length, n in key:
+                rest[length] -= n * count
+            plan.append((tuple(length for length, n in key for _ in range(n)), count))
+    return plan + best_fit(rest, capacity)
+
+
+def configurations(histogram: dict[int, int], capacity: int, rounds: int | None = None) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of one sequence, number of such sequences): every piece of the histogram is placed once.
 
-    At most ``rounds`` + a few times ``capacity`` entries.
+    The program's plan, rounded down or up, unless best fit alone needs fewer sequences. The number of entries is
+    bounded by the rounds and the capacity.
     """
     plan: list[tuple[tuple[int, ...], int]] = []
     left = {int(l): int(n) for l, n in histogram.items() if n > 0}
@@ -54,34 +133,9 @@ def configurations(histogram: dict[int, int], capacity: int, rounds: int = ROUND
         plan.append(((capacity,), left.pop(capacity)))
     if not left:
         return plan
-    lengths = np.array(sorted(left))
-    demand = np.array([left[l] for l in lengths.tolist()], dtype=float)
-    weights = np.ones(len(lengths))  # of the covering constraints
-    amounts: dict[tuple[tuple[int, int], ...], float] = {}
-    covered = np.zeros(len(lengths))
-    for _ in range(rounds):
-        # a constraint's weight falls with its cover; the price of a length is its share of the weight
-        used = knapsack(weights * lengths, lengths, demand, capacity)
-        rows = np.array(list(used))
-        times = np.array([used[k] for k in used], dtype=float)
-        amount = STEP * float((demand[rows] / times).min())
-        key = tuple(sorted(used.items()))
-        amounts[key] = amounts.get(key, 0.0) + amount
-        gain = amount * times / demand[rows]
-        covered[rows] += gain
-        weights[rows] *= np.exp(-RATE * gain)
-        if covered.min() >= 1:
-            break
-    rest = demand.astype(int)
-    # rounding: whole sequences of each configuration, never more than there are pieces
-    for key, amount in sorted(amounts.items(), key=lambda x: -x[1]):
-        rows, times = np.array([k for k, _ in key]), np.array([n for _, n in key])
-        count = int(min(np.ceil(amount), (rest[rows] // times).min()))
-        if count > 0 and (lengths[rows] * times).sum() >= capacity - 1:
-            rest[rows] -= count * times
-            plan.append((tuple(int(lengths[k]) for k, n in key for _ in range(n)), count))
-    plan += best_fit(dict(zip(lengths.tolist(), rest.tolist())), capacity)
-    return plan
+    amounts, _ = fractional(left, capacity, rounds)
+    plans = [rounded(amounts, left, capacity, up) for up in (False, True)] + [best_fit(left, capacity)]
+    return plan + min(plans, key=lambda parts: sum(n for _, n in parts))
 
 
 def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:

@@ -113,3 +113,30 @@ def test_configurations_cover_the_histogram(sizes):
 def test_knapsack_finds_the_dearest_configuration():
     lengths, prices = np.array([3, 4, 5]), np.array([3.0, 4.5, 5.1])
     assert packing.knapsack(prices, lengths, np.array([9, 9, 9]), 8) == Counter({1: 2})
+
+
+HARD = [({342: 900, 341: 900, 683: 300}, 910), ({266: 600, 276: 600, 471: 400, 501: 400, 522: 300}, 900)]
+
+
+@pytest.mark.parametrize("histogram,most", HARD)
+def test_program_beats_best_fit_where_best_fit_wastes(histogram, most):
+    plan = packing.configurations(histogram, 1024)
+    used = Counter()
+    for lengths, n in plan:
+        assert sum(lengths) <= 1024
+        used.update({length: n * k for length, k in Counter(lengths).items()})
+    assert used == histogram
+    assert sum(n for _, n in plan) <= most < sum(n for _, n in packing.best_fit(dict(histogram), 1024))
+
+
+def test_program_is_a_cover_with_a_true_bound():
+    rng = random.Random(2)
+    for histogram in [h for h, _ in HARD] + [{rng.randrange(1, 1024): rng.randrange(1, 900) for _ in range(60)} for _ in range(3)]:
+        amounts, bound = packing.fractional(histogram, 1024)
+        covered = Counter()
+        for key, amount in amounts.items():
+            assert sum(l * n for l, n in key) <= 1024
+            covered.update({l: n * amount for l, n in key})
+        assert all(covered[l] >= n * (1 - 1e-6) for l, n in histogram.items())
+        assert bound <= sum(amounts.values()) * (1 + 1e-9) and bound <= sum(n for _, n in packing.configurations(histogram, 1024))
+        assert sum(n for _, n in packing.configurations(histogram, 1024)) <= sum(n for _, n in packing.best_fit(histogram, 1024))
