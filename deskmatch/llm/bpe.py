@@ -106,6 +106,21 @@ def ranks_suffice(path: str) -> bool:
     encode = tokenizer(path).model.tokenize
     return all(i in added or [t.id for t in encode(piece)] == [i] for piece, i in vocabulary.items())
 
+#: texts of such characters and of white space that all libraries know
+PLAIN_TEXT = re.compile(f"[\t\n\r {PLAIN.pattern[1:]}")
+
+
+def portions(text: str, size: int = 1_000_000) -> Iterator[str]:
+    """A text in parts of about ``size`` characters, cut before lone spaces; joined they are the text."""
+    start = 0
+    while len(text) - start > size:
+        found = LONE_SPACE.search(text, start + size)
+        if not found:
+            break
+        yield text[start : found.start()]
+        start = found.start()
+    yield text[start:]
+
 
 class Cached(dict):
     """Answers of ``found`` by short key. A full cache becomes the older generation, from which keys that
@@ -181,6 +196,8 @@ class WordIds(Cached):
         """All ids of a text."""
         if not text:
             return b""
+        if self.ranks is not None and PLAIN_TEXT.fullmatch(text) and not self.special.search(text):
+            return b"".join(np.array(self.ranks.encode_ordinary(part), "<u4").tobytes() for part in portions(text))
         first, *rest = cut(text)
         return self.encoded(first) + b"".join(map(self.__getitem__, rest))
 

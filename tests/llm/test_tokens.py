@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from helpers import TEXTS, empty, frame
+from helpers import LONG, TEXTS, empty, frame
 
 from deskmatch.llm import bpe, counts, packing
 
@@ -34,6 +34,19 @@ def test_rank_encoder_only_where_it_is_the_same():
         assert words[key] == bpe.packed(ids_of(" " + key))
 
 
+def test_whole_plain_texts_equal_the_library(monkeypatch):
+    rng, whole = random.Random(6), bpe.WordIds(BYTE, by_rank=True)
+    for size in (1_000_000, 7):
+        monkeypatch.setattr(bpe.portions, "__defaults__", (size,))
+        for _ in range(1500):
+            text = "".join(rng.choice("abcd einorst  \n\t\r uéß'.,#$%&*!<|>09ABTS") for _ in range(rng.randrange(1, 60)))
+            assert bpe.PLAIN_TEXT.fullmatch(text)
+            assert whole.text_ids(text) == bpe.packed(ids_of(text))
+            assert "".join(bpe.portions(text)) == text
+    for text in ("plain <|endoftext|> text", "漢 a", "a\u00a0b \x0b c", LONG * 3):
+        assert whole.text_ids(text) == bpe.packed(ids_of(text))
+
+
 @pytest.mark.parametrize("block", [10, 1_000_000])
 def test_encode_and_decode_round_trip(spark, block):
     rows = bpe.encode_and_decode(frame(spark), BYTE, block_chars=block).collect()
