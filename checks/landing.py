@@ -136,7 +136,7 @@ def html_extract(spark, sf_dir) -> DataFrame:
         F.lit('<a class="nextPage enabled" href="?page=0">other</a>'),
     )
     return table(spark, sf_dir, "pages").select(
-        "page_id", F.array_join(F.transform(landing.cited_ids(html), lambda x: F.coalesce(x, F.lit("-"))), ",").alias("ids"),
+        "page_id", F.array_join(F.transform(landing.cited_ids(html, "article"), lambda x: F.coalesce(x, F.lit("-"))), ",").alias("ids"),
         landing.next_page(F.when(F.col("page_id") % 3 > 0, F.concat(html, pager)).otherwise(html),
                           F.lit("http://host/path?sortby=pubDate&page=1")).alias("next_page"),
     )

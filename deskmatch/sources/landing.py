@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deskmatch.functions import tags
 from deskmatch.functions.links import next_page_url
 from deskmatch.schemas import KEYWORD_RESPONSE, SEARCH_RESPONSE
 
@@ -81,61 +82,18 @@ def keywords_by_document(landed: DataFrame, raw: str = "response") -> DataFrame:
     return landed.select(*others, F.posexplode(keyword_lists(F.col(raw))).alias("position", "keywords"))
 
 
-def last_number(text: Column) -> Column:
-    """Last whole number in a text; null when there is none."""
-    return F.nullif(F.regexp_extract(text, r"(?s).*\b(\d+)\b.*", 1), F.lit(""))
-
-
-# an element that is never closed ends with what it stands in
-_ENDS = "div|li|p|td|tr|ul|ol|form|section|article"
-
-
-def _has_class(name: str) -> str:
-    return rf'class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"'
-
-
-def element_inside(html: Column, attribute: str) -> Column:
-    """Text between the first opening tag with the attribute and its own end; empty when there is none."""
-    opening = F.regexp_extract(html, rf"(?s)<\w+\b[^>]*{attribute}[^>]*>", 0)
-    name = F.regexp_extract(opening, r"^<(\w+)", 1)
-    tail = F.when(opening == "", F.lit("")).otherwise(F.substr(html, F.instr(html, opening) + F.char_length(opening)))
-    # cut before every tag of the same name; the first piece is inside, and so is the rest while tags are open
-    pieces = F.split(F.concat(F.lit(" "), tail), F.concat(F.lit("(?=</?"), name, F.lit(r"\b)")))
-    start = F.struct(F.lit(1).alias("open"), F.lit(0).alias("inside"))
-
-    def step(seen: Column, piece: Column) -> Column:
-        change = F.when(piece.startswith("</"), -1).when(piece.rlike(r"^<\w"), 1).otherwise(0)
-        now = F.when(seen["open"] > 0, seen["open"] + F.when(seen["inside"] == 0, F.lit(0)).otherwise(change)).otherwise(F.lit(0))
-        return F.struct(now.alias("open"), (seen["inside"] + F.when(now > 0, 1).otherwise(0)).alias("inside"))
-
-    kept = F.aggregate(pieces, start, step, lambda seen: seen["inside"])
-    return F.array_join(F.slice(pieces, F.lit(1), kept), "")
-
-
-def elements_text(html: Column, class_name: str) -> Column:
-    """Text of every element with the class, in page order, tags inside removed.
-
-    An element ends at its closing tag, at the next element of the class, or where its surroundings end.
-    """
-    opening = rf"<\w+\b[^>]*{_has_class(class_name)}[^>]*>"
-    parts = F.filter(F.split(html, f"(?s)(?={opening})"), lambda p: p.rlike(f"(?s)^{opening}"))
-
-    def text(part: Column) -> Column:
-        own = F.regexp_extract(part, r"^<(\w+)", 1)
-        inside = F.regexp_replace(part, F.concat(F.lit("(?s)</(?:"), own, F.lit(rf"|{_ENDS})\b.*")), F.lit(""))
-        return F.regexp_replace(inside, "<[^>]*>", "")
-
-    return F.transform(parts, text)
-
-
-def cited_ids(html: Column) -> Column:
-    """Article ids listed on a bibliography page: the last number of each ``pmid`` element in the citations block."""
-    return F.transform(elements_text(element_inside(html, _has_class("citations")), "pmid"), last_number)
+def cited_ids(html: Column, name: str = "div") -> Column:
+    """Article ids listed on a bibliography page: the last number of each element of class ``pmid`` in the citations
+    block, the first element ``name`` of that class; null for an element without a number."""
+    inside = tags.block(html, lambda tag: tags.has_class(tag, "citations") & tags.is_named(tag, name))
+    return F.transform(tags.items(inside, lambda tag: tags.has_class(tag, "pmid")), lambda item: tags.last_number(item["text"]))
 
 
 def next_page(html: Column, base_url: Column) -> Column:
     """Address of the next bibliography page, or null on the last one."""
-    tag = r'(?s)<a\b(?=[^>]*class="[^"]*\bnextPage\b)(?=[^>]*class="[^"]*\benabled\b)[^>]*href="([^"]*)"'
-    pager = element_inside(html, 'id="pager"')
-    href = F.replace(F.nullif(F.regexp_extract(pager, tag, 1), F.lit("")), F.lit("&amp;"), F.lit("&"))
-    return F.when(href.isNotNull(), next_page_url(base_url, href))
+    pager = tags.block(html, lambda tag: tags.has_id(tag, "pager"))
+    links = F.filter(
+        F.regexp_extract_all(pager, F.lit("<[Aa][^<>]*+>"), F.lit(0)),
+        lambda tag: tags.is_named(tag, "a") & tags.has_class(tag, "nextPage", "enabled"))
+    href = F.replace(F.nullif(tags.attribute(F.get(links, F.lit(0)), "href"), F.lit("")), F.lit("&amp;"), F.lit("&"))
+    return tags.let(href, lambda found: F.when(found.isNotNull(), next_page_url(base_url, found)))

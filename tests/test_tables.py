@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from deskmatch.functions import tags
 from deskmatch.sources import batches, cleaning, evolve, files, landing
 from deskmatch.sources.tables import APPEND, FAIL, REPLACE, Tables, limited, save_table, with_provenance
 
@@ -105,7 +106,7 @@ def test_bibliography_page(value):
     base = F.lit("http://host/path?sortby=pubDate&page=1")
     assert value(landing.next_page(F.lit(PAGE), base)) == "http://host/path?sortby=pubDate&page=2"
     assert value(landing.next_page(F.lit(PAGE.replace(" enabled", "")), base)) is None
-    assert value(landing.last_number(F.lit("none"))) is None
+    assert value(tags.last_number(F.lit("none"))) is None
 
 
 def test_search_response(spark, value):
@@ -147,6 +148,47 @@ def test_bibliography_pages_that_are_not_well_formed(value):
     assert value(landing.next_page(F.lit(later), F.lit("http://host/p"))) is None
 
 
+@pytest.mark.parametrize("inside,found", [
+    ('<i class="pmid">12<b>34</b></i><i class="pmid">a<b>5</b>b 6 c</i>', ["1234", "6"]),
+    ('<i class=pmid>x1 y</i><i class=\'a pmid\'>7</i><i class="pmids">8</i><i title="pmid">9</i>', [None, "7"]),
+    ('<!-- <i class="pmid">1</i> --><i class="pmid">2<!-- 3 </i> <b> --> 4</i> 5', ["4"]),
+    ('<p class="pmid">1<br>2<img src="3">4<p class="pmid">5 <ul><li>6<li>7</ul>', ["124", "67"]),
+    ('<b class="pmid">1 <div>2</b> 3</div></b> 4', ["3"]), ('<i class="pmid">1 < 2 and 3</i>', ["3"]),
+    ('<b><i class="pmid">1</b> 2</i>', ["2"]), ('<i class="pmid">1<i class="pmid">2</i></i>', ["1", "2"]),
+    ('</span></p><I CLASS="pmid">1</I>', ["1"]), ("", []),
+])
+def test_elements_by_one_pass(value, inside, found):
+    page = f'<p class="citations"><i class="pmid">0</i></p><DIV class="citations other">{inside}</DIV><i class="pmid">99</i>'
+    assert value(landing.cited_ids(F.lit(page))) == found
+    assert value(landing.cited_ids(F.lit(page), "p")) == ["0"]  # the first of that name
+    assert value(landing.cited_ids(F.lit(f'<div class="citations">{inside}'))) == found  # never closed
+
+
+def test_pages_are_read_in_time_of_their_length(spark):
+    """Eight times as long takes well under the square of eight times as long."""
+    import time
+
+    def seconds(inside):
+        pages = frame(spark, [(f'<div class="citations"><p class="pmid">{inside}</p></div>',)], "html string").cache()
+        pages.count()
+        started = time.perf_counter()
+        pages.select(landing.cited_ids(F.col("html")).alias("ids")).collect()
+        return time.perf_counter() - started
+
+    seconds("x")
+    for piece in ("word ", "no<b>thing</b> ", "<!-- ", "< ", "wort", "a &amp; b "):
+        short, long = seconds(piece * (150_000 // len(piece))), seconds(piece * (1_200_000 // len(piece)))
+        assert long < 24 * short + 1, piece
+
+
+def test_next_page_needs_both_classes_and_the_pager(value):
+    link = '<a href=\'?x=1&amp;page=5\' class="b nextPage enabled">n</a>'
+    base = F.lit("http://host/p?sortby=pubDate")
+    assert value(landing.next_page(F.lit(f'<form id="pager">{link}</form>'), base)) == "http://host/p?sortby=pubDate&page=5"
+    assert value(landing.next_page(F.lit(f'<form id="pager"></form>{link}'), base)) is None
+    assert value(landing.next_page(F.lit(f'<form id="pager"><!-- {link} --></form>'), base)) is None
+
+
 def test_append_keeps_nested_fields(spark):
     tables = Tables(spark, "default", "default", "nest_")
     first = frame(spark, [(1, (1,), [(1,)])], "id int, st struct<a:int>, ar array<struct<x:int>>")
