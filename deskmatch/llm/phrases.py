@@ -166,7 +166,11 @@ def phrase_counts(
     listed = block_words(blocks)
     words = stored(
         listed.groupBy("lang", "word").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-        .select((F.monotonically_increasing_id() + 1).alias("id"), "lang", "word"), "words")
+        .select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"), "lang", "word"), "words")
+    # small ids, so that windows take little room: rows of all parts in turn
+    parts = words.agg(F.max("part")).first()[0] or 0
+    row = F.col("row") - F.shiftleft(F.col("part").cast("long"), 33)
+    words = words.select((row * (parts + 1) + F.col("part") + 1).alias("id"), "lang", "word")
     # a word occurs once in a block; its key of many blocks is split by Spark
     known = listed.join(words, ["lang", "word"]).groupBy("block", "lang").agg(F.collect_list(F.struct("code", "id")).alias("known"))
     coded = blocks.select("block", "lang", "codes").join(known, ["block", "lang"])
