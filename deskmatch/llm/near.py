@@ -23,7 +23,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from deskmatch.llm.common import columns, id_and_text, stored
 
@@ -123,17 +122,18 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     bands, rows = band_shape(percent)
 
     def run(batches):
-        for ids, texts in columns(batches, "doc_id", "text"):
+        for ids, keys, texts in columns(batches, "doc_id", "text_key", "text"):
             sets = [shingles(text, size) for text in texts]
             found = [sketch(s, bands, rows) if len(s) else ([], []) for s in sets]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(map(len, sets), pa.int64()),
-                "set_key": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                "doc_id": pa.array(ids, pa.int64()), "text_key": pa.array(keys, pa.int64()),
+                "n_shingles": pa.array(map(len, sets), pa.int64()), "set_key": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 "bands": pa.array([f[0] for f in found], pa.list_(pa.int64())),
                 "odd": pa.array([f[1] for f in found], pa.list_(pa.int64())),
             })
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, odd array<long>")
+    return docs.mapInArrow(
+        run, "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>, odd array<long>")
 
 
 def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -269,28 +269,38 @@ def near_duplicates(
 
     Two documents are linked if 100 * common shingles >= ``percent`` * all their shingles. Null and empty texts
     have no shingles and no links. A row without id is linked with nothing, has no component and is kept.
-    Rows that repeat an id count as one document in links; texts of one id share its component when the id is
-    the smallest of both. An empty table gives no rows; other columns are ignored.
+    A document is an id with a text: rows of one id with different texts are linked by their texts only, and
+    repeated rows count as one. An empty table gives no rows; other columns are ignored.
     """
-    docs = id_and_text(docs, id_column, text_column)
+    return _decided(docs, size, percent, id_column, text_column).drop("text_key")
+
+
+def _with_key(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("text_key", F.xxhash64("text"))
+
+
+def _decided(docs: DataFrame, size: int, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """The rows of :func:`near_duplicates` with the hash of their text."""
+    docs = _with_key(id_and_text(docs, id_column, text_column))
     bands, rows = band_shape(percent)
     limit = most_flips(percent, bands * rows)
     sketched = stored(sketches(docs, size, percent), "sketches")
     usable = sketched.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = stored(usable.groupBy("set_key").agg(F.min("doc_id").alias("class")), "classes")
-    ones = classes.select("set_key", F.col("class").alias("id"))
-    heads = usable.withColumnRenamed("doc_id", "id").join(ones, ["set_key", "id"]).select("id", "bands", "odd")
+    # documents of one set are one node, shown by its first document
+    classes = stored(
+        usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+        .select("set_key", "first.doc_id", "first.text_key", F.monotonically_increasing_id().alias("node")), "classes")
+    heads = usable.join(classes, ["set_key", "doc_id", "text_key"]).select(F.col("node").alias("id"), "bands", "odd")
     # every representative with the leader of each of its bands: the one that shares bands with most others
     banded = heads.select("id", F.explode("bands").alias("band"))
-    shared = stored(
-        banded.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("band"))).filter("members > 1"), "bands"
-    )
+    crowded = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = stored(banded.join(crowded, "band"), "bands")
     central = shared.groupBy("id").agg(F.sum("members").alias("weight"))
     leaders = shared.join(central, "id").groupBy("band").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("top"))
     met = shared.join(leaders.select("band", (-F.col("top.id")).alias("leader")), "band").filter("id <> leader").select(
         F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    texts = stored(
-        docs.withColumnRenamed("doc_id", "id").join(central.select("id"), "id").groupBy("id").agg(F.min("text").alias("text")), "texts")
+    wanted = classes.join(central.select(F.col("id").alias("node")), "node").select("doc_id", "text_key", F.col("node").alias("id"))
+    texts = stored(docs.join(wanted, ["doc_id", "text_key"]).groupBy("id").agg(F.min("text").alias("text")), "texts")
     members = stored(anchored(met, texts, size, percent), "members")
     grouped = stored(components(members.filter("linked").select(F.col("id").alias("a"), F.col("leader").alias("b"))), "components")
 
@@ -314,15 +324,17 @@ def near_duplicates(
     )
     merged = components(between).select(F.col("id").alias("component"), F.col("component").alias("merged"))
 
-    final = classes.join(grouped.withColumnRenamed("id", "class"), "class", "left").select(
-        "set_key", F.coalesce("component", "class").alias("component")
-    ).join(merged, "component", "left").select("set_key", F.coalesce("merged", "component").alias("component"))
+    rooted = classes.join(grouped.withColumnRenamed("id", "node"), "node", "left").select(
+        "set_key", "doc_id", F.coalesce("component", "node").alias("component")
+    ).join(merged, "component", "left").select("set_key", "doc_id", F.coalesce("merged", "component").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component"))
+    final = rooted.join(least, "root").select("set_key", "component")
     own = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     return (
-        sketched.select("doc_id", "n_shingles", F.when(own, F.col("set_key")).alias("set_key"))
+        sketched.select("doc_id", "text_key", "n_shingles", F.when(own, F.col("set_key")).alias("set_key"))
         .join(final, "set_key", "left")
         .select(
-            "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
+            "doc_id", "text_key", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
             F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
         )
     )
@@ -331,10 +343,12 @@ def near_duplicates(
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document is kept, with all their columns; equal texts under one id stay once.
 
-    Rows without id stay. ``docs`` is read more than once, so it should be a stored table.
+    Rows without id stay, as do rows without words. Of an id with several texts only the rows of dropped texts go.
+    ``docs`` is read more than once, so it should be a stored table. An empty table stays empty.
     """
-    found = near_duplicates(docs, size, percent, id_column, text_column)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs[id_column].cast("long") == gone["_gone"], "left_anti")
+    found = _decided(docs, size, percent, id_column, text_column)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_text")).distinct()
+    same = (docs[id_column].cast("long") == gone["_gone"]) & (F.xxhash64(F.coalesce(docs[text_column], F.lit(""))) == gone["_text"])
+    left = docs.join(gone, same, "left_anti")
     named = left.filter(F.col(id_column).isNotNull()).dropDuplicates([id_column, text_column])
     return named.unionByName(left.filter(F.col(id_column).isNull()))

@@ -70,13 +70,13 @@ def swaps(text: str, groups=GROUPS) -> list[tuple[set[str], set[str]]]:
     return changes
 
 
-def vocabulary(sample: DataFrame, size: int = VOCABULARY, least: int = LEAST_TEXTS) -> list[str]:
-    """The features of most sample texts and of most swapped texts."""
+def vocabulary(sample: DataFrame, size: int = VOCABULARY, least: int = LEAST_TEXTS, groups=GROUPS) -> list[str]:
+    """The features of most sample texts and of most texts swapped within ``groups``."""
 
     def run(batches):
         for (texts,) in columns(batches, "text"):
             for text in texts:
-                known = features(words(text)).union(*(won for _, won in swaps(text)))
+                known = features(words(text)).union(*(won for _, won in swaps(text, groups)))
                 yield pa.RecordBatch.from_pydict({"feature": pa.array(sorted(known), pa.string())})
 
     counted = sample.select("text").mapInArrow(run, "feature string").groupBy("feature").agg(F.count(F.lit(1)).alias("n"))

@@ -61,6 +61,37 @@ def test_null_ids_repeats_and_empty_tables(spark):
     assert near.near_duplicates(empty(spark)).count() == 0
 
 
+def plainly(rows, size, percent):
+    """Documents are (id, text); their links by brute force, the component the least id reached."""
+    shown = sorted({(i, t) for i, t in rows})
+    found = brute([(k, t) for k, (_, t) in enumerate(shown)], size, percent)
+    least = {}
+    for k, (_, root) in found.items():
+        least[root] = min(least.get(root, shown[k][0]), shown[k][0])
+    return {shown[k]: (n, least[root]) for k, (n, root) in found.items()}
+
+
+@pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
+def test_ids_with_several_texts(spark, size, percent):
+    rng = random.Random(size)
+    base = texts(7, 60)
+    rows = [(rng.randrange(1, 25), text) for _, text in base] + [(3, " ".join(f"lang{k}" for k in range(30_000)))]
+    rows += [(40, rows[-1][1] + " more"), (40, "other words of that id " * 3), (1, "same words " * 4), (5, "same words " * 4 + "x"), (5, "quite different")]
+    expected = plainly(rows, size, percent)
+    found = near.near_duplicates(frame(spark, rows), size, percent).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in found) == sorted(
+        (i, *expected[i, t], expected[i, t][1] == i) for i, t in rows)
+    kept = near.keep_one(frame(spark, rows), size, percent).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted((i, t) for (i, t), (_, c) in expected.items() if c == i)
+
+
+def test_the_link_of_a_second_text_is_found(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (5, text + " more"), (5, "a text of its own with other words in it")]
+    kept = {(r["doc_id"], r["text"]) for r in near.keep_one(frame(spark, rows)).collect()}
+    assert kept == {rows[0], rows[2]}
+
+
 def test_a_large_group_of_copies_is_one_component(spark):
     rows = [(i, "the same words in every copy of this text " * 3 + str(i % 2)) for i in range(1, 400)]
     assert {r["component_id"] for r in near.near_duplicates(frame(spark, rows), 3, 85).collect()} <= {1, 2}
