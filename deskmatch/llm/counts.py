@@ -6,15 +6,17 @@ characters across it, so the count of a text is the sum over its words.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from deskmatch.llm.bpe import tokenizer
-from deskmatch.llm.common import columns, id_and_text
+from deskmatch.llm.common import columns, id_and_text, stored
+from deskmatch.llm.word_bpe import LowerWords, drops_spaces, ranks_suffice
 
 #: entries of the broadcast table, entries each task offers for it, and of a worker's cache of further words
 FREQUENT, OFFERED, CACHED = 32_768, 16_384, 200_000
@@ -22,9 +24,25 @@ FREQUENT, OFFERED, CACHED = 32_768, 16_384, 200_000
 KEY_BYTES = 64
 
 
+def _sketch(seen: Counter, offer: int) -> bytes:
+    """The most frequent words with their counts, as one compressed value."""
+    best = seen.most_common(offer)
+    counts = np.array([n for _, n in best], "<u8").tobytes()
+    return zlib.compress(len(best).to_bytes(4, "little") + counts + b" ".join(word for word, _ in best), 1)
+
+
+def _seen(sketch: bytes) -> Counter:
+    raw = zlib.decompress(sketch)
+    n = int.from_bytes(raw[:4], "little")
+    return Counter(dict(zip(raw[4 + 8 * n :].split(b" ") if n else [], np.frombuffer(raw, "<u8", n, 4).tolist())))
+
+
 def frequent_words(texts: DataFrame, keep: int = FREQUENT, offer: int = OFFERED) -> list[bytes]:
-    """At most ``keep`` words that are frequent over all texts. Each task offers its most frequent words;
-    only these offers are merged. The choice decides speed, never a count."""
+    """At most ``keep`` words that are frequent over all texts.
+
+    Each task makes one sketch of its most frequent words; sketches of bounded size are merged in a tree, so
+    neither words nor counts are dealt out by key. The choice decides speed, never a count.
+    """
 
     def run(batches):
         seen: Counter = Counter()
@@ -33,24 +51,25 @@ def frequent_words(texts: DataFrame, keep: int = FREQUENT, offer: int = OFFERED)
                 seen.update(text.encode().split())
             if len(seen) > 20 * offer:  # bounded: the rarest half goes
                 seen = Counter(dict(seen.most_common(10 * offer)))
-        best = [(w, n) for w, n in seen.most_common(offer) if len(w) <= KEY_BYTES]
-        yield pa.RecordBatch.from_pydict({
-            "word": pa.array([w for w, _ in best], pa.binary()), "n": pa.array([n for _, n in best], pa.int64()),
-        })
+        short = Counter({w: n for w, n in seen.most_common(2 * offer) if len(w) <= KEY_BYTES})
+        yield pa.RecordBatch.from_pydict({"sketch": pa.array([_sketch(short, offer)], pa.binary())})
 
-    merged = texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(row["word"]) for row in merged.orderBy(F.desc("n"), "word").limit(keep).collect()]
+    made = stored(texts.select("text").mapInArrow(run, "sketch binary"), "word-sketches")
+    merged = made.rdd.map(lambda row: bytes(row["sketch"])).treeReduce(lambda a, b: _sketch(_seen(a) + _seen(b), 2 * offer)) if made.head(1) else b""
+    return [word for word, _ in _seen(merged).most_common(keep)] if merged else []
 
 
 class Counts(dict):
     """Token count by word: the frequent ones from the start, misses encoded and remembered up to a bound."""
 
-    def __init__(self, path: str, frequent: dict[bytes, int], limit: int = CACHED):
+    def __init__(self, path: str, frequent: dict[bytes, int], limit: int = CACHED, by_rank: bool = False):
         super().__init__(frequent)
-        self.frequent, self.tokenizer, self.limit = frequent, tokenizer(path), limit
+        self.frequent, self.limit = frequent, limit
+        self.words = LowerWords(path, limit, by_rank)
+        self.width = 2 if self.words.code == "H" else 4
 
     def __missing__(self, word: bytes) -> int:
-        n = len(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+        n = len(self.words.found(word)) // self.width
         if len(word) <= KEY_BYTES:
             if len(self) >= self.limit + len(self.frequent):
                 self.clear()
@@ -60,8 +79,8 @@ class Counts(dict):
 
 
 @lru_cache(maxsize=2)
-def _counts(path: str, words: bytes, sizes: bytes) -> Counts:
-    return Counts(path, dict(zip(words.split(), sizes)))
+def _counts(path: str, words: bytes, sizes: bytes, by_rank: bool) -> Counts:
+    return Counts(path, dict(zip(words.split(), sizes)), by_rank=by_rank)
 
 
 def count_tokens(
@@ -72,8 +91,12 @@ def count_tokens(
 
     Counts are those of the tokenizers file at ``path`` for the whole text, without added tokens; a special
     token written in a text counts as one. Null and empty texts count 0. Repeated rows and null ids give a
-    row each; an empty table gives none; other columns are ignored.
+    row each; an empty table gives none; other columns are ignored. A file that keeps white space is refused,
+    as its counts are not those of the words.
     """
+    if not drops_spaces(path):
+        raise ValueError(f"{path} does not cut at white space and drop it")
+    by_rank = ranks_suffice(path)
     texts = id_and_text(docs, id_column, text_column)
     words = frequent_words(texts, keep)
     sizes = [len(e.ids) for e in tokenizer(path).encode_batch([w.decode() for w in words], add_special_tokens=False)]
@@ -82,7 +105,7 @@ def count_tokens(
     compact = texts.sparkSession.sparkContext.broadcast((b" ".join(w for w, _ in short), bytes(n for _, n in short)))
 
     def run(batches):
-        get = _counts(path, *compact.value).__getitem__
+        get = _counts(path, *compact.value, by_rank).__getitem__
         for ids, listed in columns(batches, "doc_id", "text"):
             raw = [text.encode() for text in listed]
             counted = [sum(map(get, text.split())) for text in raw]

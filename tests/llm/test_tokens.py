@@ -63,6 +63,14 @@ def test_counts_equal_the_library(spark):
     sizes = [(i or -1, len((t or "").encode()), len(ids_of(t, WORD))) for i, t in TEXTS]
     assert found == sorted((*s, s[2] > 5) for s in sizes)
     assert counts.count_tokens(empty(spark), WORD).count() == 0
+    with pytest.raises(ValueError):
+        counts.count_tokens(frame(spark), BYTE)
+
+
+def test_frequent_words_come_from_sketches_of_all_tasks(spark):
+    rows = [(i, "often often " + " ".join(f"w{i}x{k}" for k in range(30)) + (" mid" if i % 2 else "")) for i in range(200)]
+    assert counts.frequent_words(frame(spark, rows).select("text").repartition(7), keep=2, offer=20) == [b"often", b"mid"]
+    assert counts.frequent_words(empty(spark).select("text")) == []
 
 
 def test_count_cache_stays_bounded():
