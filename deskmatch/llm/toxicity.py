@@ -30,6 +30,12 @@ GROUPS = (
     ("gay", "straight", "lesbian", "bisexual"), ("transgender", "cisgender"),
     ("black", "white", "asian", "latino", "african", "european"),
     ("immigrants", "refugees", "foreigners", "natives"), ("disabled", "blind", "deaf"), ("old", "young", "elderly"),
+    ("frauen", "männer", "mädchen", "jungen"), ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("schwule", "lesben", "heteros"), ("afrikaner", "asiaten", "europäer"), ("einwanderer", "flüchtlinge", "ausländer"),
+    ("femmes", "hommes", "filles", "garçons"), ("musulmans", "chrétiens", "juifs", "bouddhistes", "athées"),
+    ("africains", "asiatiques", "européens"), ("immigrés", "réfugiés", "étrangers"),
+    ("mujeres", "hombres", "niñas", "niños"), ("musulmanes", "cristianos", "judíos", "budistas", "ateos"),
+    ("africanos", "asiáticos", "europeos"), ("inmigrantes", "refugiados", "extranjeros"),
 )
 #: labelled texts of each class, words in the model, texts a word must occur in
 PER_CLASS, VOCABULARY, LEAST_TEXTS = 3000, 50_000, 3
@@ -181,7 +187,7 @@ def learn_model(
     sample, totals = labelled_sample(docs, labels, label, condition, per_class, id_column, text_column)
     ones, zeros = totals.get(1, 0), totals.get(0, 0)
     if ones and zeros:
-        known = vocabulary(sample)
+        known = vocabulary(sample, groups=groups)
         # at most 2 * per_class rows with at most VOCABULARY numbers each
         rows = sample_features(sample, known, groups).orderBy("doc_id").collect()
         if len({r["label"] for r in rows}) == 2:

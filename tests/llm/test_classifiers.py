@@ -107,3 +107,21 @@ def test_decision_lists_are_learnt_and_applied(spark):
     kept = rules.keep_good(frame(spark, rows), learnt)
     assert kept.count() == sum(r["kept"] for r in found) and kept.columns == frame(spark, rows).columns
     assert rules.learn_rules([]) == [] and rules.quality_rules(frame(spark), spark.createDataFrame([], LABELS)) == []
+
+
+def test_own_groups_are_swapped_and_their_names_weigh_alike(spark):
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(1, 241):
+        toxic = i % 2
+        words = [f"wort{rng.randrange(60)}" for _ in range(12)] + (["zorgs"] if toxic or i % 10 == 0 else ["blips"] if i % 3 else [])
+        rows.append((i, " ".join(words + (["nasty"] if toxic and i % 4 != 1 else []))))
+        labels.append((i, 1, toxic, "x"))
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, LABELS)
+    groups = (("zorgs", "blips"),)
+    sample = docs.select("doc_id", "text")
+    assert {"=zorgs", "=blips"} <= set(toxicity.vocabulary(sample, groups=groups, least=1))
+    plain, _ = toxicity.learn_model(docs, marks, groups=())
+    fair, _ = toxicity.learn_model(docs, marks, groups=groups)
+    gap = lambda weights: abs(weights.get("=zorgs", 0.0) - weights.get("=blips", 0.0))
+    assert gap(plain) > 0.3 and gap(fair) < gap(plain) / 3
