@@ -9,6 +9,7 @@ So windows are a few integers, however long their words.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -115,10 +116,19 @@ def block_words(blocks: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, "block long, lang string, code int, word string, f long")
 
 
-def windows(coded: DataFrame, longest: int) -> DataFrame:
-    """(w1, …, f): every window that begins with a frequent word, by the ids of its words, 0 beyond its end; windows
-    of one block that are the same are counted. ``coded`` has codes, and known: (code, id) of frequent words."""
-    names = [f"w{k}" for k in range(1, longest + 1)]
+def layout(highest: int, longest: int) -> tuple[int, int, int]:
+    """(bits of an id, ids of one number, numbers of one window) where ``highest`` is the highest id."""
+    bits = max(1, highest.bit_length())
+    together = max(1, 63 // bits)
+    return bits, together, -(-longest // together)
+
+
+def windows(coded: DataFrame, longest: int, highest: int) -> DataFrame:
+    """(p0, …, f): every window that begins with a frequent word, as the ids of its words, 0 beyond its end, packed into
+    numbers by :func:`layout`. Windows of one block that are the same are counted. ``coded`` has codes, and known:
+    (code, id) of frequent words."""
+    bits, together, n = layout(highest, longest)
+    names = [f"p{k}" for k in range(n)]
 
     def run(batches):
         for batch in batches:
@@ -126,33 +136,59 @@ def windows(coded: DataFrame, longest: int) -> DataFrame:
                 known = batch.column(1)[row].values.flatten()
                 ids = np.concatenate([[0], known[1].to_numpy()])
                 codes = _integers(batch.column(0)[row].as_py())
-                near = np.zeros(int(codes.max()) + 1, "i8")  # place among the frequent words of this block, 0: none
+                near = np.zeros(int(codes.max()) + 1, "i4")  # place among the frequent words of this block, 0: none
                 near[known[0].to_numpy()] = np.arange(1, len(ids))
-                lead = near[codes]
-                at = np.flatnonzero(lead)
-                leads, open_ = [lead[at]], np.ones(len(at), bool)
-                padded = np.concatenate([lead, np.zeros(longest, "i8")])
-                for k in range(1, longest):
-                    following = np.where(open_, padded[at + k], 0)
-                    open_ = following > 0
-                    leads.append(following)
-                places, counts = _distinct(leads, len(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(ids[lead[places]]) for lead in leads), pa.array(counts)], names=[*names, "f"])
+                lead = np.concatenate([near[codes], np.zeros(longest, "i4")])
+                del codes, near
+                leads, counts = _distinct(_leads(lead, longest), len(ids))
+                packed = [np.zeros(len(counts), "i8") for _ in names]
+                for k, places in enumerate(leads):
+                    packed[k // together] |= ids[places] << (bits * (k % together))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, packed), pa.array(counts)], names=[*names, "f"])
 
     return coded.select("codes", "known").mapInArrow(run, ", ".join(f"{name} long" for name in (*names, "f")))
 
 
-def _distinct(leads: list[np.ndarray], base: int) -> tuple[np.ndarray, np.ndarray]:
-    """A place of each distinct window and how often it occurs; numbers are below ``base``."""
-    key, high = leads[0], base
-    for lead in leads[1:]:
+def unpacked(counted: DataFrame, longest: int, highest: int) -> DataFrame:
+    """(w1, …, f) from the numbers of :func:`windows`."""
+    bits, together, _ = layout(highest, longest)
+    mask = F.lit((1 << bits) - 1)
+    return counted.select(*[
+        F.shiftright(f"p{k // together}", bits * (k % together)).bitwiseAND(mask).alias(f"w{k + 1}") for k in range(longest)], "f")
+
+
+def _leads(lead: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """First words of all windows, then second words and so on; 0 behind a 0. ``lead`` ends with ``longest`` zeros."""
+    at = np.flatnonzero(lead)
+    now = lead[at]
+    yield now
+    for k in range(1, longest):
+        now = np.where(now > 0, lead[at + k], 0)
+        yield now
+
+
+def _distinct(leads: Iterable[np.ndarray], base: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct windows and how often each occurs; numbers are below ``base``."""
+    held, key, high = [], None, 1
+    for lead in leads:
+        held.append(lead)
         if high > 2**62 // base:
             shown, key = np.unique(key, return_inverse=True)
             high = len(shown)
-        key, high = key * base + lead, high * base
-    _, places, counts = np.unique(key, return_index=True, return_counts=True)
-    return places, counts
+        key, high = lead.astype("i8") if key is None else key * base + lead, high * base
+    if base ** len(held) > 2**62:
+        _, places, counts = np.unique(key, return_index=True, return_counts=True)
+        return [lead[places] for lead in held], counts
+    n = len(held)
+    del held, lead
+    key.sort()
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    counts, key = np.diff(np.append(starts, len(key))), key[starts]
+    parts = []
+    for _ in range(n):
+        key, part = np.divmod(key, base)
+        parts.append(part)
+    return parts[::-1], counts
 
 
 def phrase_counts(
@@ -168,15 +204,18 @@ def phrase_counts(
         listed.groupBy("lang", "word").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
         .select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"), "lang", "word"), "words")
     # small ids, so that windows take little room: rows of all parts in turn
-    parts = words.agg(F.max("part")).first()[0] or 0
     row = F.col("row") - F.shiftleft(F.col("part").cast("long"), 33)
-    words = words.select((row * (parts + 1) + F.col("part") + 1).alias("id"), "lang", "word")
+    last = words.agg(F.max("part").alias("part"), F.max(row).alias("row")).first()
+    parts = (last["part"] or 0) + 1
+    highest = ((last["row"] or 0) + 1) * parts
+    words = words.select((row * parts + F.col("part") + 1).alias("id"), "lang", "word")
     # a word occurs once in a block; its key of many blocks is split by Spark
     known = listed.join(words, ["lang", "word"]).groupBy("block", "lang").agg(F.collect_list(F.struct("code", "id")).alias("known"))
     coded = blocks.select("block", "lang", "codes").join(known, ["block", "lang"])
 
     names = [f"w{k}" for k in range(1, longest + 1)]
-    counted = windows(coded, longest).groupBy(*names).agg(F.sum("f").alias("f"))
+    counted = windows(coded, longest, highest)
+    counted = unpacked(counted.groupBy(*counted.columns[:-1]).agg(F.sum("f").alias("f")), longest, highest)
     # the longest level is counted already: of it only what is frequent goes on
     last = names[-1]
     counted = counted.withColumn(last, F.when((F.col("f") >= least) & (F.col(last) > 0), F.col(last)))

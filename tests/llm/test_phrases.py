@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from helpers import LONG, empty
 
@@ -60,14 +61,20 @@ def test_report_equals_brute_force(spark, longest, least, top, block):
     assert sorted(tuple(r) for r in found) == brute(rows, longest, least, top)
 
 
-def test_windows_are_as_long_as_the_vocabulary_needs():
-    import numpy as np
-
+@pytest.mark.parametrize("base", [50, 2**20, 2**30])
+def test_distinct_windows_whatever_the_vocabulary(base):
     rng = np.random.default_rng(1)
-    leads = [rng.integers(0, 2**30, 500) for _ in range(4)]
+    leads = [rng.integers(0, base, 500) for _ in range(4)]
     leads = [np.concatenate([lead, lead[:100]]) for lead in leads]
-    places, counts = phrases._distinct(leads, 2**30)
-    assert len(places) == 500 and sorted(Counter(counts.tolist()).items()) == [(1, 400), (2, 100)]
+    found, counts = phrases._distinct(iter(leads), base)
+    assert Counter(dict(zip(zip(*(f.tolist() for f in found)), counts.tolist()))) == Counter(zip(*(lead.tolist() for lead in leads)))
+    assert phrases._distinct(iter([np.empty(0, "i8")] * 3), base)[1].tolist() == []
+
+
+@pytest.mark.parametrize("highest,longest,numbers", [(3, 3, 1), (2**21 - 1, 3, 1), (2**21, 3, 2), (2**40, 3, 3), (2**31, 4, 4)])
+def test_ids_fit_their_numbers(highest, longest, numbers):
+    bits, together, n = phrases.layout(highest, longest)
+    assert n == numbers and bits * together <= 63 and highest < 1 << bits
 
 
 def test_products_beyond_64_bits(spark):
