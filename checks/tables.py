@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.common import table
-from deskmatch.operators.latest import latest_import
+from deskmatch.operators.latest import latest_import, newest_import_rows
 from deskmatch.plans import daily
 from deskmatch.sources.tables import APPEND, REPLACE, Tables, limited, with_provenance
 
@@ -69,6 +69,41 @@ LATEST_SQL = """SELECT person_id, ids, source FROM (
   FROM orders) WHERE place = 1"""
 
 
+def latest_id_rows(spark, sf_dir) -> DataFrame:
+    """All ids of the newest import per customer, one row each: an import is what came in one year with one priority."""
+    imports = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("person_id"), F.col("o_orderkey").alias("pmid"),
+        F.struct(F.col("o_orderpriority").alias("source"), F.date_trunc("year", "o_orderdate").alias("imported_timestamp")).alias("provenance"),
+    )
+    newest = newest_import_rows(imports, ["person_id"], "provenance.source")
+    return newest.select("person_id", "pmid", F.col("provenance.source").alias("source"))
+
+
+ID_ROWS_SQL = """SELECT person_id, pmid, source FROM (
+  SELECT o_custkey AS person_id, o_orderkey AS pmid, o_orderpriority AS source,
+    rank() OVER (PARTITION BY o_custkey ORDER BY date_trunc('year', o_orderdate) DESC, o_orderpriority DESC) AS place
+  FROM orders) WHERE place = 1"""
+
+
+def snapshot_refresh(spark, sf_dir) -> DataFrame:
+    """Orders come in three imports, one of them empty; after each the copy with the newest order per customer is
+    brought up to date from what is new. ``version`` counts the writes to the copy: an empty import makes none."""
+    tables = _tables(spark)
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("person_id"), F.col("o_orderkey").alias("number"), F.col("o_orderdate").cast("timestamp").alias("day"))
+    stamped = orders.select("person_id", "number", F.struct(F.lit("orders").alias("source"), F.col("day").alias("imported_timestamp")).alias("provenance"))
+    newest = lambda rows: latest_import(rows, ["person_id"], "number")
+    for part in (F.col("number") % 4 > 0, F.col("number") < 0, F.col("number") % 4 == 0):
+        tables.save(stamped.filter(part), "imports", APPEND)
+        copy = tables.refreshed_snapshot("imports", newest, ["person_id"])
+    return copy.select("person_id", "number", F.lit(tables.own("mv_imports").version()).cast("long").alias("version"))
+
+
+REFRESHED_SQL = """SELECT person_id, number, 2 AS version FROM (
+  SELECT o_custkey AS person_id, o_orderkey AS number,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS place FROM orders) WHERE place = 1"""
+
+
 def snapshot_limited(spark, sf_dir) -> DataFrame:
     """The fifty costliest orders, as a view and its stored copy."""
     tables = _tables(spark)
@@ -89,7 +124,9 @@ SERIES_SQL = "SELECT event_type, ts::DATE AS ds, count(*) AS y FROM events GROUP
 
 QUERIES = {
     "table_append_nested": table_append_nested, "latest_ids": latest_ids, "snapshot_limited": snapshot_limited, "series_shape": series_shape,
+    "latest_id_rows": latest_id_rows, "snapshot_refresh": snapshot_refresh,
 }
 SQL = {
     "table_append_nested": APPEND_SQL, "latest_ids": LATEST_SQL, "snapshot_limited": SNAPSHOT_SQL, "series_shape": SERIES_SQL,
+    "latest_id_rows": ID_ROWS_SQL, "snapshot_refresh": REFRESHED_SQL,
 }

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from deskmatch.functions.arrays import distinct_present, first, joined, or_empty, pick_ordered
 from deskmatch.functions.text import contains, manuscript_id_from_doi
-from deskmatch.operators.latest import latest_import
+from deskmatch.operators.latest import latest_import, newest_import_rows
 from deskmatch.operators.scale import spread_nulls
 
 # fixed values: points per matching trait of an author
@@ -173,7 +173,7 @@ def paper_details(
     ``dedupe`` keeps the newest import per editor and paper; without it each import of a paper counts.
     """
     if dedupe:
-        pubmed_ids = latest_import(pubmed_ids, ["person_id"])
+        pubmed_ids = newest_import_rows(pubmed_ids, ["person_id"])
         summaries = latest_import(summaries, ["pmid"], "doi")
     authors = paper_authors(summaries)
     candidates = author_candidates(enriched_editors(profiles, pubmed_ids, persons), authors)
@@ -243,10 +243,16 @@ def selected_papers(priorities: DataFrame, cutoffs: DataFrame) -> DataFrame:
     )
 
 
+def as_listed(rows: DataFrame, alias: str = "pubmed_ids") -> DataFrame:
+    """Rows of one id each as rows with a list of it, an empty one for none: the form in which the operators of this
+    module take ids. A person may have any number of rows, so no list grows with a person."""
+    return rows.withColumn(alias, F.when(F.col("pmid").isNotNull(), F.array("pmid")).otherwise(F.array().cast("array<string>"))).drop("pmid")
+
+
 def as_id_lists(
     persons: DataFrame, selected: DataFrame, ids: str = "pmid", alias: str = "disambiguated_pubmed_ids"
 ) -> DataFrame:
-    """One row per person with the sorted list of selected ids, empty when none; a list is one person's papers."""
+    """For readers: one row per person with the sorted list of selected ids, empty when none. Jobs keep the rows."""
     lists = selected.groupBy("person_id").agg(F.array_sort(F.collect_list(ids)).alias(alias))
     return persons.join(lists, "person_id", "left").withColumn(alias, or_empty(alias))
 
@@ -255,7 +261,7 @@ def editor_publications(
     selected: DataFrame, links: DataFrame, pubmed_ids: DataFrame, summaries: DataFrame, doi_prefix: str
 ) -> DataFrame:
     """Selected papers with identifiers, date and where they came from: (person_id, publication_id, …)."""
-    newest_ids = latest_import(pubmed_ids, ["person_id"])
+    newest_ids = newest_import_rows(pubmed_ids, ["person_id"])
     papers = latest_import(summaries, ["pmid"], "doi").select("pmid", "doi", "firstPublicationDate")
 
     def listed(df, array, flag):

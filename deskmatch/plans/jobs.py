@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmatch import schemas
-from deskmatch.operators.latest import latest_import
+from deskmatch.operators.latest import newest_import_rows
 from deskmatch.operators.scale import materialise
 from deskmatch.plans import daily, disambiguation, forecast, harvest, recommend, reports, stats, submissions
 from deskmatch.sources import landing
@@ -48,13 +48,12 @@ def _existing_ids(tables: Tables) -> DataFrame:
 
 
 def _id_rows(wanted: DataFrame, found: DataFrame, source: str, as_of: Column) -> DataFrame:
-    """One import row per wanted editor."""
+    """One row per wanted editor and id found, one without id where none was found: an import of any size."""
     ids = found.filter(F.col("pmid").isNotNull()).select("person_id", "pmid").distinct()
     persons = wanted.select("person_id", "name", "pubmed_url").join(
         found.select("person_id").distinct(), "person_id", "left_semi"
     )
-    lists = disambiguation.as_id_lists(persons, ids, alias="pubmed_ids")
-    return with_provenance(lists, source, as_of)
+    return with_provenance(persons.join(ids, "person_id", "left"), source, as_of)
 
 
 def import_bibliography_ids(tables: Tables, pages: DataFrame, as_of: Column, limit: int | None = None) -> int:
@@ -72,8 +71,9 @@ def import_search_ids(tables: Tables, responses: DataFrame, as_of: Column, limit
 
 
 def snapshot_ids(tables: Tables) -> DataFrame:
-    """Newest import per editor as a view and its stored copy."""
-    return tables.snapshot(latest_import(tables.output(PAPER_IDS), ["person_id"], "provenance.source"), PAPER_IDS)
+    """Rows of the newest import per editor as a stored copy, in which only editors with new imports are replaced."""
+    newest = lambda rows: newest_import_rows(rows, ["person_id"], "provenance.source")
+    return tables.refreshed_snapshot(PAPER_IDS, newest, ["person_id"])
 
 
 def _summaries(tables: Tables) -> DataFrame:
@@ -84,7 +84,7 @@ def import_summaries(
     tables: Tables, responses: DataFrame, latest_ids: DataFrame, as_of: Column, limit: int | None = None
 ) -> int:
     """``responses`` holds landed paper searches: (response). Only wanted papers are kept."""
-    every = harvest.all_paper_ids(latest_ids, tables.output(LINKS))
+    every = harvest.all_paper_ids(disambiguation.as_listed(latest_ids), tables.output(LINKS))
     wanted = harvest.papers_to_fetch(every, _summaries(tables), limit).select(F.col("pubmed_id").alias("pmid"))
     rows = landing.search_results(responses.select("response")).join(wanted, "pmid", "left_semi")
     return _append_new(tables, with_provenance(rows, "search", as_of), SUMMARIES)
@@ -96,7 +96,8 @@ def disambiguate(
 ) -> DataFrame:
     """Writes match details and selected papers; returns the coverage flags per editor."""
     profiles, links = tables.source("mv_Editorial_Editor_Profile"), tables.output(LINKS)
-    with_terms = latest_ids.join(links.select("person_id", "parsed_search_term"), "person_id", "left")
+    listed = disambiguation.as_listed(latest_ids)
+    with_terms = listed.join(links.select("person_id", "parsed_search_term"), "person_id", "left")
     first_author = F.struct(
         F.struct(F.try_element_at("parsed_search_term.include", F.lit("author")).alias("author")).alias("include")
     )
@@ -109,8 +110,9 @@ def disambiguate(
     chosen = disambiguation.selected_papers(
         priorities, disambiguation.priority_cutoffs(priorities, target, maximum)
     )
-    tables.save(disambiguation.as_id_lists(links.select("person_id", "name"), chosen), PAPERS, REPLACE)
-    counts = disambiguation.coverage_counts(profiles, tables.output(PAPERS), links, latest_ids)
+    tables.save(links.select("person_id", "name").join(chosen, "person_id", "left"), PAPERS, REPLACE)
+    papers = disambiguation.as_listed(tables.output(PAPERS), "disambiguated_pubmed_ids")
+    counts = disambiguation.coverage_counts(profiles, papers, links, listed)
     return disambiguation.coverage_flags(counts)
 
 
@@ -144,9 +146,9 @@ def reviewing_profiles(tables: Tables, latest_ids: DataFrame, doi_prefix: str) -
         tables.source("mv_Editorial_All_Manuscript_Version"), tables.source("mv_Editorial_Person")
     )
     summaries = _summaries(tables)
-    chosen = tables.output(PAPERS).select("person_id", F.explode("disambiguated_pubmed_ids").alias("pmid"))
+    chosen = tables.output(PAPERS).filter(F.col("pmid").isNotNull()).select("person_id", "pmid")
     publications = disambiguation.editor_publications(
-        chosen, tables.output(LINKS), latest_ids, summaries, doi_prefix
+        chosen, tables.output(LINKS), disambiguation.as_listed(latest_ids), summaries, doi_prefix
     )
     papers = submissions.publication_keywords(
         tables.source("keywords_from_disambiguated_editor_papers_abstract_batch"), summaries, doi_prefix

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deskmatch.operators import keywords as kw
-from deskmatch.operators.latest import latest_import, latest_per_key
+from deskmatch.operators.latest import latest_import, latest_per_key, newest_import_rows
 from deskmatch.operators.median import exact_median
 from deskmatch.operators.membership import drop_own, keep_known_names, not_in
 from deskmatch.operators.scale import hot_keys, number_rows, salted_join, scratch_folder, spread_nulls
@@ -286,3 +286,22 @@ def test_median_is_exact_beside_a_rough_sketch(spark):
     rows = frame(spark, [("a", float(v)) for v in range(1001)] + [("b", 5.0)] * 900 + [("b", 6.0)] + [("c", None)], "k string, v double")
     found = {r.k: r.m for r in exact_median(rows, ["k"], "v", "m", accuracy=3).collect()}
     assert found == {"a": 500.0, "b": 5.0, "c": None}
+
+
+def test_newest_import_of_any_size(spark):
+    rows = [("a", "1", "2024-01-01", "s"), ("a", "2", "2024-01-02", "s"), ("a", "3", "2024-01-02", "s"), ("a", "4", "2024-01-02", "r"),
+            ("b", None, "2024-01-01", "s"), (None, "5", "2024-01-01", "s"), (None, "6", "2023-01-01", "s"), ("c", "7", None, "s")]
+    imports = frame(spark, rows, "person_id string, pmid string, day string, source string").select(
+        "person_id", "pmid", F.struct("source", F.to_timestamp("day").alias("imported_timestamp")).alias("provenance"))
+    found = newest_import_rows(imports, ["person_id"], "provenance.source")
+    assert {(r.person_id, r.pmid) for r in found.collect()} == {("a", "2"), ("a", "3"), ("b", None), (None, "5"), ("c", "7")}
+
+
+def test_a_person_with_most_of_all_ids_is_split(spark):
+    """The import of one person is never one list or one task's work: the join splits it, nothing gathers it."""
+    imports = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("person_id"), F.col("id").cast("string").alias("pmid"),
+        F.struct(F.lit("s").alias("source"), F.timestamp_seconds(F.lit(0)).alias("imported_timestamp")).alias("provenance"))
+    newest = newest_import_rows(imports, ["person_id"])
+    assert newest.count() == 30_000
+    assert "collect_list" not in newest._jdf.queryExecution().toString()

@@ -335,10 +335,10 @@ def test_whole_flow(spark, flow, tmp_path):
     pages = frame(spark, [("r2", '<div class="citations"><b class="pmid">2</b></div>')], "person_id string, html string")
     assert jobs.import_bibliography_ids(flow, pages, as_of()) == 1
     searches = frame(spark, [("r1", found("1", "4")), ("s1", found("9"))], "person_id string, response string")
-    assert jobs.import_search_ids(flow, searches, as_of()) == 1
+    assert jobs.import_search_ids(flow, searches, as_of()) == 2  # one row per id
     assert jobs.import_search_ids(flow, searches, as_of()) == 0
     latest = jobs.snapshot_ids(flow)
-    assert {r.person_id: r.pubmed_ids for r in latest.collect()} == {"r1": ["1", "4"], "r2": ["2"]}
+    assert {(r.person_id, r.pmid) for r in latest.collect()} == {("r1", "1"), ("r1", "4"), ("r2", "2")}
     papers = frame(spark, [(found("1", "2", "4", "8"),)], "response string")
     assert jobs.import_summaries(flow, papers, latest, as_of()) == 3
     assert jobs.import_summaries(flow, papers, latest, as_of()) == 0
