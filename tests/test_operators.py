@@ -305,3 +305,22 @@ def test_a_person_with_most_of_all_ids_is_split(spark):
     newest = newest_import_rows(imports, ["person_id"])
     assert newest.count() == 30_000
     assert "collect_list" not in newest._jdf.queryExecution().toString()
+
+
+def test_median_of_a_group_with_most_rows_and_of_missed_brackets(spark):
+    """One group has 90 % of the rows; no ordered step sees more than one zone of it."""
+    import statistics
+
+    rng = random.Random(8)
+    rows = [("hot", rng.random()) for _ in range(9000)] + [(rng.choice(["a", "b", None]), rng.choice([1.0, 2.0, None])) for _ in range(990)]
+    rows += [("none", None), ("one", 5.0), ("two", 1.0), ("two", 4.0), ("nan", float("nan")), ("nan", 1.0), ("nan", 2.0)]
+    data = frame(spark, rows, "k string, v double")
+    expected = {}
+    for k in {k for k, _ in rows}:
+        values = [v for g, v in rows if g == k and v is not None]
+        expected[k] = statistics.median(sorted(values, key=lambda v: (v != v, v))) if values else None
+    for accuracy in (10_000, 20):  # so coarse a sketch misses the middle
+        found = {r.k: r.m for r in exact_median(data, ["k"], "v", "m", accuracy).collect()}
+        assert found == expected
+    plan = exact_median(data, ["k"], "v", "m")._jdf.queryExecution().toString()
+    assert "collect_list" not in plan
