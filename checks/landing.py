@@ -127,6 +127,31 @@ NAMES_SQL = r"""SELECT word, replace(strip_accents(word), 'ß', 'ss') || ' JX Y'
 FROM (SELECT DISTINCT unnest(regexp_split_to_array(text, '[^\p{L}]+')) AS word FROM documents) WHERE word <> ''"""
 
 
+def redirected_links(spark, sf_dir) -> DataFrame:
+    """Customers' short addresses through redirects: chains of up to five steps that end on a search page, circles of
+    three, every redirect listed twice, and some with a second target."""
+    key, at = F.col("c_custkey"), F.col("c_custkey") % 12
+    customer = table(spark, sf_dir, "customer")
+    here, onward = F.concat(F.lit("https://short.example/p"), _text("c_custkey")), F.concat(F.lit("https://short.example/p"), _text(key + 1))
+    page = F.concat(F.lit("https://www.ncbi.nlm.nih.gov/pubmed/?term=author"), _text("c_custkey"))
+    target = F.when(at < 4, onward).when(at == 4, page).when(at.isin(6, 7), onward).when(at == 8, F.concat(
+        F.lit("https://short.example/p"), _text(key - 2)))
+    steps = customer.select(here.alias("url"), target.alias("target"))
+    second = customer.filter(at == 4).select(here.alias("url"), F.lit("https://zzz.example/other").alias("target"))
+    profiles = customer.select(
+        _text("c_custkey").alias("Person_ID"), F.col("c_name").alias("Name"), here.alias("Pubmed_URL"),
+        F.lit(None).cast("array<string>").alias("Relevant_Pubmed_URLs"))
+    parsed = harvest.parsed_links(profiles, steps.unionByName(steps).unionByName(second))
+    return parsed.select("person_id", "resolved_pubmed_url", "search_term")
+
+
+REDIRECT_SQL = """SELECT c_custkey::VARCHAR AS person_id,
+  CASE WHEN c_custkey % 12 < 5 THEN 'https://www.ncbi.nlm.nih.gov/pubmed/?term=author' || (c_custkey - c_custkey % 12 + 4)
+    ELSE 'https://short.example/p' || c_custkey END AS resolved_pubmed_url,
+  CASE WHEN c_custkey % 12 < 5 THEN 'author' || (c_custkey - c_custkey % 12 + 4) END AS search_term
+FROM customer"""
+
+
 def html_extract(spark, sf_dir) -> DataFrame:
     """Pages read as bibliography pages: paragraphs are the cited articles, the article element is the block,
     the addresses of its links give the next page. The ids are numbers of the pages' own texts."""
@@ -398,6 +423,7 @@ QUERIES = {
     "term_query": term_query,
     "author_names": author_names,
     "html_extract": html_extract,
+    "redirected_links": redirected_links,
     "search_landing": search_landing,
     "keyword_landing": keyword_landing,
     "event_landing": event_landing,
@@ -422,6 +448,7 @@ WHERE is_ncbi_bibliography_url AND person_id NOT IN (SELECT c_custkey::VARCHAR F
     "term_query": TERM_SQL,
     "author_names": NAMES_SQL,
     "html_extract": HTML_SQL,
+    "redirected_links": REDIRECT_SQL,
     "search_landing": SEARCH_SQL,
     "keyword_landing": KEYWORD_SQL,
     "event_landing": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events",

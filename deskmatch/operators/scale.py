@@ -13,6 +13,8 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 # rows of one key that one task takes; a key with more is hot and spread over as many tasks as it needs
 ROWS_PER_TASK = 1_000_000
+# hot keys that are broadcast at most: some ten megabytes
+MOST_HOT_KEYS = 100_000
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -46,10 +48,15 @@ def salted_join(
     """Equi-join on ``key`` where hot keys of ``large`` are spread over several tasks.
 
     Rows of ``large`` take a salt from ``spread_by``; the matching rows of ``small`` are repeated
-    once per salt. ``hot`` comes from :func:`hot_keys`; it is small against the rows, and Spark broadcasts
-    it only if its measured size allows.
+    once per salt. ``hot`` comes from :func:`hot_keys` and is stored and counted first: none makes a plain join, up
+    to ``MOST_HOT_KEYS`` are broadcast, so that no task gets all rows of a key before they are salted. With more, a
+    key has a small share of the rows, and Spark's own split of large partitions does for the join with the list.
     """
-    hot = hot.select(F.col(key), F.col("salts").alias("_salts"))
+    hot = materialise(hot.select(F.col(key), F.col("salts").alias("_salts")), "hot-keys")
+    known = hot.limit(MOST_HOT_KEYS + 1).count()
+    if not known:
+        return large.join(small, key, how)
+    hot = F.broadcast(hot) if known <= MOST_HOT_KEYS else hot
     salt = F.when(F.col("_salts") > 1, F.pmod(F.xxhash64(*spread_by), F.col("_salts")).cast("int")).otherwise(0)
     left = large.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
     last = F.coalesce(F.col("_salts"), F.lit(1)) - 1

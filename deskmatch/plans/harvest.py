@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from deskmatch.functions import links
 from deskmatch.functions.dates import whole_days
 from deskmatch.operators.latest import latest_import
-from deskmatch.operators.scale import spread_nulls
+from deskmatch.operators.scale import materialise, spread_nulls
 from deskmatch.operators.membership import drop_members, not_in
 from deskmatch.sources.tables import limited
 
@@ -16,10 +16,35 @@ from deskmatch.sources.tables import limited
 MAX_IMPORT_DAYS = 15
 
 
+def final_targets(redirects: DataFrame) -> DataFrame:
+    """(url, target): where each address of (url, target) leads in the end, one row per address.
+
+    Of several targets of one address the least counts. Every round lets each address point to where its target
+    points, so chains of any length take as many rounds as their length has binary digits. Addresses that run in a
+    circle, or into one, lead nowhere and are left out, as are null addresses and targets.
+    """
+    steps = materialise(
+        redirects.filter(F.col("url").isNotNull() & F.col("target").isNotNull() & (F.col("url") != F.col("target")))
+        .groupBy("url").agg(F.min("target").alias("target")), "redirects")
+    rounds, length = 0, steps.count()
+    while True:
+        further = steps.select(F.col("url").alias("target"), F.col("target").alias("_next"))
+        steps = materialise(
+            steps.join(further, "target", "left").select(
+                "url", F.coalesce("_next", "target").alias("target"), F.col("_next").isNotNull().alias("open")), "redirects")
+        rounds += 1
+        open_ = steps.filter("open")
+        if open_.isEmpty():
+            return steps.select("url", "target")
+        if 1 << (rounds - 1) > length:  # the round before has reached the end of any chain without a circle
+            return steps.filter("not open").select("url", "target")
+        steps = steps.drop("open")
+
+
 def parsed_links(profiles: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
     """Profile links with article ids, resolved address, search term and bibliography flag.
 
-    ``redirects`` (url, target) resolves addresses outside the literature site; without it they stay.
+    ``redirects`` (url, target) resolves addresses outside the literature site, through chains; without it they stay.
     """
     table = profiles.select(
         F.col("Person_ID").alias("person_id"),
@@ -32,7 +57,7 @@ def parsed_links(profiles: DataFrame, redirects: DataFrame | None = None) -> Dat
     if redirects is None:
         table = table.withColumnRenamed("_url", "resolved_pubmed_url")
     else:
-        targets = redirects.select(F.col("url").alias("_url"), F.col("target").alias("_target"))
+        targets = final_targets(redirects).select(F.col("url").alias("_url"), F.col("target").alias("_target"))
         own = links.is_literature_url("_url")
         key = spread_nulls(F.col("_url"), "person_id")  # profiles without address are spread out
         targets = targets.withColumnRenamed("_url", "_from")

@@ -395,3 +395,25 @@ def test_ranking_ties_fall_by_name(spark):
     scores = frame(spark, [("v", "Senior", n, s) for n, s in (("a", 0.5), ("b", 0.5), ("c", 0.0001))],
                    "version_id string, role string, name string, score double")
     assert [r.name for r in rank_editors(scores).orderBy("rank").collect()] == ["b", "a"]
+
+
+def test_redirects_lead_through_chains(spark):
+    rng = random.Random(3)
+    for _ in range(3):
+        steps = [(f"u{rng.randrange(60)}", f"u{rng.randrange(90)}") for _ in range(70)] + [(f"c{i}", f"c{i + 1}") for i in range(40)]
+        steps += [("x", "y"), ("y", "x"), ("z", "x"), ("s", "s"), (None, "a"), ("n", None)] + steps[:5]
+        one = {}
+        for url, target in steps:
+            if url is not None and target is not None and url != target:
+                one[url] = min(target, one.get(url, target))
+        expected = {}
+        for url in one:
+            seen, at = {url}, one[url]
+            while at in one and at not in seen:
+                seen.add(at)
+                at = one[at]
+            if at not in one:
+                expected[url] = at
+        found = harvest.final_targets(frame(spark, steps, "url string, target string"))
+        assert sorted(map(tuple, found.collect())) == sorted(expected.items())
+    assert harvest.final_targets(frame(spark, [], "url string, target string")).count() == 0
