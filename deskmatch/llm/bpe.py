@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmatch.llm.common import columns, id_and_text
+from deskmatch.llm.common import columns, id_and_text, stored
 
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: white space before a space, the ASCII characters first
@@ -290,8 +290,9 @@ def block_codes(docs: DataFrame, buckets: int, block_chars: int = BLOCK_CHARS) -
 
 
 def encoded_words(listed: DataFrame, path: str, limit: int = CACHE_WORDS) -> DataFrame:
-    """(block, bucket, n, ids, check): a bucket is one part of the distinct-word table; all its words meet in
-    one task, which encodes each distinct one once (a bucket of over ``limit`` words repeats some)."""
+    """(block, bucket, n, ids, used, check): a bucket is one part of the distinct-word table; all its words meet in
+    one task, which encodes each distinct one once (a bucket of over ``limit`` words repeats some). ``used`` are the
+    distinct ids."""
 
     def run(batches):
         encode = tokenizer(path).encode
@@ -304,15 +305,26 @@ def encoded_words(listed: DataFrame, path: str, limit: int = CACHE_WORDS) -> Dat
                 for word in words:
                     if word not in table:
                         table[word] = np.asarray(encode(word.decode(), add_special_tokens=False).ids, "<u2" if small else "<u4").tobytes()
+                ids = [table[word] for word in words]
+                used = np.unique(np.frombuffer(b"".join(ids), "<u2" if small else "<u4"))
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([block], pa.int64()), "bucket": pa.array([bucket], pa.int32()), "n": pa.array([n], pa.int32()),
-                    "ids": pa.array([_squeezed([table[word] for word in words])], pa.binary()),
+                    "ids": pa.array([_squeezed(ids)], pa.binary()), "used": pa.array([used.astype("i4")], pa.list_(pa.int32())),
                     "check": pa.array([zlib.crc32(b"\x00".join(words))], pa.int64()),
                 })
 
     small = tokenizer(path).get_vocab_size() <= 1 << 16
     dealt = listed.select("bucket", "block", "n", "words").repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "block long, bucket int, n int, ids binary, check long")
+    return dealt.mapInArrow(run, "block long, bucket int, n int, ids binary, used array<int>, check long")
+
+
+def block_pieces(listed: DataFrame, path: str) -> DataFrame:
+    """(block, pieces): the bytes of all ids that occur in a block, by a join of its ids with the id-to-piece table."""
+    table = listed.sparkSession.createDataFrame(list(id_bytes(path).items()), "id int, piece binary")
+    ids = listed.select("block", F.explode("used").alias("id")).distinct()
+    # as many rows as the vocabulary has, so are the pieces of a block at most
+    found = ids.join(F.broadcast(table), "id")
+    return found.groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("pieces"))
 
 
 def encode_and_decode(
@@ -331,19 +343,20 @@ def encode_and_decode(
     docs = id_and_text(docs, id_column, text_column)
     # buckets of the distinct-word table: one or more per task of a shuffle
     buckets = min(60_000, max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    listed = encoded_words(block_words(docs, buckets, block_chars), path)
+    listed = stored(encoded_words(block_words(docs, buckets, block_chars), path), "word-ids")
     # the words of one block are bounded by the text of one block
     entries = listed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "ids", "check"))).alias("entries"))
     # a block without any word keeps its documents
-    joined = block_codes(docs, buckets, block_chars).join(entries, "block", "left").select(
-        "doc_ids", "sizes", "codes", "bucket_of", "checks", "entries")
+    known = entries.join(block_pieces(listed, path), "block")
+    joined = block_codes(docs, buckets, block_chars).join(known, "block", "left").select(
+        "doc_ids", "sizes", "codes", "bucket_of", "checks", "entries", "pieces")
     small = tokenizer(path).get_vocab_size() <= 1 << 16
 
     def run(batches):
-        pieces = id_bytes(path)
         for batch in batches:
             for at_row in range(batch.num_rows):
-                doc_ids, sizes, codes, bucket_of, checks, entries = (c[at_row].as_py() for c in batch.columns)
+                doc_ids, sizes, codes, bucket_of, checks, entries, joined_pieces = (c[at_row].as_py() for c in batch.columns)
+                pieces = {p["id"]: p["piece"] for p in joined_pieces or ()}
                 if checks != [e["check"] for e in entries or ()]:
                     raise RuntimeError("documents changed between two reads; store them first")
                 # back by position: words of a bucket are in the order of their codes
