@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.common import table
-from checks.keywords import SCORED_REQUESTS, _details, _requests, both_models
+from checks.keywords import RENDER_SQL, SCORED_REQUESTS, _details, _requests, both_models
 from deskmatch.functions import links
 from deskmatch.functions.text import author_name
 from deskmatch.operators.membership import not_in, pick_in_order
@@ -415,6 +415,35 @@ FROM documents d LEFT JOIN labels l USING (doc_id)
 LEFT JOIN top s ON s.doc_id = d.doc_id AND s.role = 'Senior' LEFT JOIN top r ON r.doc_id = d.doc_id AND r.role = 'Reviewing'"""
 
 
+def stream_once(spark, sf_dir) -> DataFrame:
+    """Every document as an arriving request; then, in a second run, every third one again with another text, and an
+    hour later. The log has the first answer only: both texts, and request and time as provenance."""
+    root = scratch_folder(spark, "stream")
+    first = _requests(spark, sf_dir).select(
+        _text("doc_id").alias("request_id"), "body", "keywords", F.lit("2024-01-01").cast("timestamp").alias("received"))
+    again = first.filter(F.col("request_id").cast("long") % 3 == 0).withColumns({
+        "body": F.regexp_replace("body", '"manuscript_id":"', '"manuscript_id":"again-'),
+        "received": F.lit("2024-01-01 01:00:00").cast("timestamp")})
+    models, details = both_models(spark, sf_dir), _details(spark, sf_dir)
+    for rows in (first, again):
+        rows.repartition(2, "request_id").write.mode("append").json(f"{root}/in")
+        scoring.start_scoring(
+            scoring.read_requests(spark, f"{root}/in", files_per_batch=2), models, details,
+            f"{root}/log", f"{root}/rejected", f"{root}/checkpoint",
+        ).awaitTermination()
+    log = spark.read.parquet(f"{root}/log")
+    sides = [F.struct(F.lit(role).alias("role"), F.col(f"{role.lower()}_editor_recommendation").alias("answer")) for role in ("Senior", "Reviewing")]
+    return log.select("request_id", "provenance", F.explode(F.array(*sides)).alias("side")).select(
+        F.col("request_id").cast("long").alias("doc_id"), "side.role",
+        F.coalesce(F.array_join("side.answer.person_ids", ","), F.lit("")).alias("person_ids"), "side.answer.recommendation_html",
+        F.get_json_object("provenance.recommendation_request", "$.manuscript_id").alias("manuscript_id"),
+        F.date_format("provenance.imported_timestamp", "yyyy-MM-dd HH:mm").alias("received"))
+
+
+ONCE_SQL = f"""SELECT doc_id, role, person_ids, recommendation_html, doc_id::VARCHAR AS manuscript_id, '2024-01-01 00:00' AS received
+FROM ({RENDER_SQL})"""
+
+
 QUERIES = {
     "parsed_links": parsed_links,
     "bibliography_flags": bibliography_flags,
@@ -438,6 +467,7 @@ QUERIES = {
     "schema_evolution": schema_evolution,
     "ordered_pick": ordered_pick,
     "stream_scoring": stream_scoring,
+    "stream_once": stream_once,
 }
 SQL = {
     "parsed_links": PARSED_SQL,
@@ -464,4 +494,5 @@ WHERE is_ncbi_bibliography_url AND person_id NOT IN (SELECT c_custkey::VARCHAR F
     "schema_evolution": EVOLUTION_SQL,
     "ordered_pick": PICK_SQL,
     "stream_scoring": STREAM_SQL,
+    "stream_once": ONCE_SQL,
 }

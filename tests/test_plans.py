@@ -387,6 +387,23 @@ def test_stream_survives_replay(spark, tmp_path):
     assert [r.request_id for r in spark.read.parquet(rejected).collect()] == ["r3"]
 
 
+def test_stream_answers_a_repeated_request_once(spark, tmp_path):
+    trained = frame(spark, [(f"n{i % 2}", f"p{i % 2}", ["a", f"w{i % 2}"], i) for i in range(20)],
+                    "name string, person_id string, extracted_keywords array<string>, i int")
+    model = stored_model(role_profiles_for(trained))
+    source, log, rejected, checkpoint = (str(tmp_path / n) for n in ("in", "log", "rejected", "checkpoint"))
+    later = NOW + dt.timedelta(hours=1)
+    runs = [[("r1", request(), ["w1"], NOW), ("r1", request(), ["w1"], NOW), (None, request(title="a"), ["w0"], NOW)],
+            [("r1", request(), ["w0"], later), ("r2", request(), ["w0"], later), (None, request(title="a"), ["w0"], later), ("r3", "{}", [], later)],
+            [("r3", "{}", [], later)]]
+    for rows in runs:
+        frame(spark, rows, scoring.REQUEST_FILE).coalesce(1).write.mode("append").json(source)
+        scoring.start_scoring(scoring.read_requests(spark, source), model, stats_row(spark), log, rejected, checkpoint).awaitTermination()
+    answered = spark.read.parquet(log).filter("request_id is not null").collect()
+    assert sorted((r.request_id, *r.senior_editor_recommendation.person_ids) for r in answered) == [("r1", "p1"), ("r2", "p0")]
+    assert [r.request_id for r in spark.read.parquet(rejected).collect()] == ["r3"]
+
+
 def role_profiles_for(trained):
     return recommend.role_profiles(trained, trained, "Senior", ("i",))
 
