@@ -91,20 +91,20 @@ def test_batches(spark):
 def test_search_texts(value):
     ids = F.array(*[F.lit(f"pmid{i}") for i in (1, 2, 3)])
     assert value(batches.id_search(ids)) == '(EXT_ID:"pmid1" OR EXT_ID:"pmid2" OR EXT_ID:"pmid3") AND (SRC:"MED")'
-    assert value(batches.author_search(F.array(F.lit("Smith, J X")))) == '(AUTH:"Smith JX") AND (SRC:"MED")'
+    assert value(batches.author_search(F.array(F.lit("Novak, R T")))) == '(AUTH:"Novak RT") AND (SRC:"MED")'
     with pytest.raises(Exception, match="values required"):
         value(batches.id_search(F.array().cast("array<string>")))
 
 
 PAGE = """<div id="content"><span class="pmid">99</span><div class="citations">
-<div><span class="pmid">PMID: <a href="#">12345671</a></span></div><span class="docsum pmid">x 1 and
-12345672 end</span></div></div><div id="pager"><a class="active page_link nextPage enabled" href="?page=2">Next</a></div>"""
+<div><span class="pmid">PMID: <a href="#">31007</a></span></div><span class="docsum pmid">x 1 and
+31008 end</span></div></div><div id="pager"><a class="active page_link nextPage enabled" href="?page=2">Next</a></div>"""
 
 
 def test_bibliography_page(value):
-    assert value(landing.cited_ids(F.lit(PAGE))) == ["12345671", "12345672"]
-    base = F.lit("http://host/path?sortby=pubDate&page=1")
-    assert value(landing.next_page(F.lit(PAGE), base)) == "http://host/path?sortby=pubDate&page=2"
+    assert value(landing.cited_ids(F.lit(PAGE))) == ["31007", "31008"]
+    base = F.lit("https://list.example/papers?order=year&page=1")
+    assert value(landing.next_page(F.lit(PAGE), base)) == "https://list.example/papers?order=year&page=2"
     assert value(landing.next_page(F.lit(PAGE.replace(" enabled", "")), base)) is None
     assert value(tags.last_number(F.lit("none"))) is None
 
@@ -183,8 +183,8 @@ def test_pages_are_read_in_time_of_their_length(spark):
 
 def test_next_page_needs_both_classes_and_the_pager(value):
     link = '<a href=\'?x=1&amp;page=5\' class="b nextPage enabled">n</a>'
-    base = F.lit("http://host/p?sortby=pubDate")
-    assert value(landing.next_page(F.lit(f'<form id="pager">{link}</form>'), base)) == "http://host/p?sortby=pubDate&page=5"
+    base = F.lit("https://list.example/p?order=year")
+    assert value(landing.next_page(F.lit(f'<form id="pager">{link}</form>'), base)) == "https://list.example/p?order=year&page=5"
     assert value(landing.next_page(F.lit(f'<form id="pager"></form>{link}'), base)) is None
     assert value(landing.next_page(F.lit(f'<form id="pager"><!-- {link} --></form>'), base)) is None
 
