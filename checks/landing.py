@@ -127,6 +127,20 @@ NAMES_SQL = r"""SELECT word, replace(strip_accents(word), 'ß', 'ss') || ' JX Y'
 FROM (SELECT DISTINCT unnest(regexp_split_to_array(text, '[^\p{L}]+')) AS word FROM documents) WHERE word <> ''"""
 
 
+def author_name_scripts(spark, sf_dir) -> DataFrame:
+    """Every distinct word of plain letters, spelt with Cyrillic and with Greek letters, as a family name."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.split("text", "[^a-z]+"))).alias("word"))
+    words = words.filter("word != ''").distinct()
+    cyrillic = F.translate("word", "abvgdezijklmnoprstufhcy", "абвгдезийклмнопрстуфхцы")
+    greek = F.translate("word", "abdeziklmnxoprt", "αβδεζικλμνξοπρτ")
+    return words.select(
+        "word", author_name(F.concat(cyrillic, F.lit(" Ж. Я"))).alias("cyrillic"), author_name(F.concat(greek, F.lit(", Φ"))).alias("greek"))
+
+
+SCRIPTS_SQL = """SELECT word, word || ' ZA' AS cyrillic, word || ' Ph' AS greek
+FROM (SELECT DISTINCT unnest(regexp_split_to_array(text, '[^a-z]+')) AS word FROM documents) WHERE word <> ''"""
+
+
 def redirected_links(spark, sf_dir) -> DataFrame:
     """Customers' short addresses through redirects: chains of up to five steps that end on a search page, circles of
     three, every redirect listed twice, and some with a second target."""
@@ -451,6 +465,7 @@ QUERIES = {
     "url_parts": url_parts,
     "term_query": term_query,
     "author_names": author_names,
+    "author_name_scripts": author_name_scripts,
     "html_extract": html_extract,
     "redirected_links": redirected_links,
     "search_landing": search_landing,
@@ -477,6 +492,7 @@ WHERE is_ncbi_bibliography_url AND person_id NOT IN (SELECT c_custkey::VARCHAR F
     "url_parts": URL_SQL,
     "term_query": TERM_SQL,
     "author_names": NAMES_SQL,
+    "author_name_scripts": SCRIPTS_SQL,
     "html_extract": HTML_SQL,
     "redirected_links": REDIRECT_SQL,
     "search_landing": SEARCH_SQL,

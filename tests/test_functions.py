@@ -13,6 +13,9 @@ def day(s):
 @pytest.mark.parametrize("given,expected", [
     ("Novak R T", "Novak RT"), ("OKAFOR B", "OKAFOR B"), ("Okafor, B", "Okafor B"), ("Novak R.", "Novak R"),
     (' "Novak R" ', "Novak R"), (' "Ñövâk Ŕ" ', "Novak R"), ("R T U", "R TU"), ("A R T U", "A RT U"), ("Weiß Æ", "Weiss AE"),
+    ("Пушкин А С", "Puskin AS"), ("Щербаков Й", "Serbakov J"), ("Ёлкина Ю", "Elkina U"), ("Шевченко Ї", "Sevcenko I"),
+    ("Παπαδόπουλος Θ", "Papadopoulos Th"), ("Αγγελίδης Χ", "Angelides Ch"), ("Εὐριπίδης", "Eyripides"), ("Ψαράς Υ", "Psaras Y"),
+    ("山田 T", "山田 T"),
 ])
 def test_author_name(value, given, expected):
     assert value(text.author_name(F.lit(given))) == expected
