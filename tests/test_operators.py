@@ -324,3 +324,29 @@ def test_median_of_a_group_with_most_rows_and_of_missed_brackets(spark):
         assert found == expected
     plan = exact_median(data, ["k"], "v", "m")._jdf.queryExecution().toString()
     assert "collect_list" not in plan
+
+
+def test_scored_pairs_stay_in_their_block(spark, no_broadcast, monkeypatch):
+    rng = random.Random(4)
+    rows = [(f"v{i}", f"e{i % 7}", f"p{i % 7}", [f"k{rng.randrange(60)}" for _ in range(30)] + ["all"]) for i in range(80)]
+    training = frame(spark, rows, "version_id string, name string, person_id string, extracted_keywords array<string>")
+    model = stored_model(role_profiles(training, training, "Senior", ("version_id",), min_documents=1, max_share=1.0))
+
+    def scored():
+        return kw.score_documents(training, model, "version_id", "extracted_keywords")
+
+    whole = {(r["version_id"], r["name"]): r["score"] for r in scored().collect()}
+    monkeypatch.setattr(kw, "WORDS_PER_BLOCK", 200)
+    monkeypatch.setattr(kw, "LISTED_PER_BLOCK", 100)
+    blocks = scored()
+    # without a broadcast too, no pair of a document and an editor is dealt out by its document
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(version_id" not in plan
+    assert {(r["version_id"], r["name"]): pytest.approx(r["score"]) for r in blocks.collect()} == whole
+    assert len(whole) == 80 * 7
+    for top in (1, None):  # few matches a document, and all
+        listed = recommendation_rows(training.withColumn("author_person_ids", F.lit(None).cast("array<string>")), model, top=top).collect()
+        assert len(listed) == (80 if top else 560)
+        for r in listed:
+            assert r["matching_keyword_score"] == pytest.approx(r["score"]) == pytest.approx(whole[r["version_id"], r["name"]])
+            assert len({k["keyword"] for k in r["matching_keywords"]}) == len(r["matching_keywords"])
