@@ -43,8 +43,15 @@ def exact_median(
         again = _joined(sketch, missed.select(*names), names).select(*names, wide.alias("_q"), "_n")
         rest = _joined(data, again.select(*names), names)
         found = _joined(found, again.select(*names), names, "left_anti").unionByName(_middles(rest, again, names))
-    return found.select(
-        *[F.col(n).alias(k) for n, k in zip(names, keys)], ((F.col("_lo") + F.col("_hi")) / 2).alias(alias))
+    return found.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], _halfway("_lo", "_hi").alias(alias))
+
+
+def _halfway(low: str, high: str) -> Column:
+    """Mean of two values as they are written: 28.74 and 31.36 have 30.05 between them, where the sum of the binary numbers
+    falls short of it and would be displayed as 30.0. Values that are no decimal of ten places keep the binary mean."""
+    exact = [F.col(c).try_cast("decimal(28,10)") for c in (low, high)]
+    written = (exact[0].cast("double") == F.col(low)) & (exact[1].cast("double") == F.col(high))
+    return F.when(written, ((exact[0] + exact[1]) / 2).cast("double")).otherwise((F.col(low) + F.col(high)) / 2)
 
 
 def _joined(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:

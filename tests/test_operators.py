@@ -350,3 +350,11 @@ def test_scored_pairs_stay_in_their_block(spark, no_broadcast, monkeypatch):
         for r in listed:
             assert r["matching_keyword_score"] == pytest.approx(r["score"]) == pytest.approx(whole[r["version_id"], r["name"]])
             assert len({k["keyword"] for k in r["matching_keywords"]}) == len(r["matching_keywords"])
+
+
+def test_median_between_two_decimals(spark):
+    rows = frame(spark, [("a", 28.74), ("a", 31.36), ("b", 1 / 3), ("b", 2 / 3), ("c", 1e300), ("c", 1e300), ("d", 2.5), ("e", None)],
+                 "k string, v double")
+    found = {r["k"]: r["m"] for r in exact_median(rows, ["k"], "v", "m").collect()}
+    # the binary mean is 30.049999999999997, which a display of one place shows as 30.0
+    assert found == {"a": 30.05, "b": 0.5, "c": 1e300, "d": 2.5, "e": None}
