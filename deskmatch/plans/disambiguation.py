@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from deskmatch.functions.arrays import distinct_present, first, joined, or_empty, pick_ordered
 from deskmatch.functions.text import contains, manuscript_id_from_doi
 from deskmatch.operators.latest import latest_import, newest_import_rows
-from deskmatch.operators.scale import spread_nulls
+from deskmatch.operators.scale import materialise, spread_nulls
 
 # fixed values: points per matching trait of an author
 POINTS = {
@@ -113,6 +113,8 @@ def flag_candidates(candidates: DataFrame, history: DataFrame) -> DataFrame:
         .groupBy(F.col("author_orcid").alias("_orcid"), F.col("institution").alias("_institution"))
         .agg(F.max(F.instr(F.col("affiliation_string"), F.col("institution")) > 0).alias("_seen"))
     )
+    # stored: Spark knows its size before the candidates move, and they stay dealt by paper where it is small
+    seen = materialise(seen, "seen")
     key = spread_nulls(F.col("author_orcid"), "person_id", "pmid")
     flagged = candidates.withColumn("_key", key)
     joined_rows = flagged.join(

@@ -434,3 +434,20 @@ def test_redirects_lead_through_chains(spark):
         found = harvest.final_targets(frame(spark, steps, "url string, target string"))
         assert sorted(map(tuple, found.collect())) == sorted(expected.items())
     assert harvest.final_targets(frame(spark, [], "url string, target string")).count() == 0
+
+
+def test_candidates_stay_dealt_by_paper(spark):
+    """Spark's own size of a large input stands in for one: only what is stored is known to be small."""
+    editors = spark.createDataFrame([("1", "i", ["a", "b"])], "person_id string, institution string, pubmed_ids array<string>").select(
+        "*", F.lit("r").alias("role_name"), F.lit("o").alias("orcid"), F.lit("x").alias("first_name"), F.lit("y").alias("last_name"),
+        F.struct(F.lit("c").alias("country"), F.lit("t").alias("city"), F.lit("z").alias("postal_code")).alias("primary_address"))
+    authors = spark.createDataFrame(
+        [("a", 0, "o", "at i"), ("a", 1, None, "at j"), ("b", 0, "o", "at j")],
+        "pmid string, author_position int, author_orcid string, affiliation_string string").select(
+        "*", F.lit("x").alias("author_first_name"), F.lit("y").alias("author_last_name"), F.lit("xy").alias("author_full_name"),
+        F.lit("x").alias("author_initials"))
+    flagged = dis.flag_candidates(dis.author_candidates(editors, authors), dis.affiliation_history(authors))
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan  # the earlier affiliations are read back, not counted on the way
+    found = {(r["pmid"], r["author_position"]): r["has_matching_previous_affiliation"] for r in flagged.collect()}
+    assert found == {("a", 0): True, ("a", 1): None, ("b", 0): True}
