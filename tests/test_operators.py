@@ -358,3 +358,33 @@ def test_median_between_two_decimals(spark):
     found = {r["k"]: r["m"] for r in exact_median(rows, ["k"], "v", "m").collect()}
     # the binary mean is 30.049999999999997, which a display of one place shows as 30.0
     assert found == {"a": 30.05, "b": 0.5, "c": 1e300, "d": 2.5, "e": None}
+
+
+def test_documents_stay_in_their_blocks(spark, no_broadcast, monkeypatch):
+    rng = random.Random(6)
+    rows = [(f"v{i}", f"e{i % 5}", f"p{i % 5}", [f"k{rng.randrange(40)}" for _ in range(25)] + [None, "all"]) for i in range(60)]
+    schema = "version_id string, name string, person_id string, extracted_keywords array<string>"
+    training = frame(spark, rows, schema)
+    model = stored_model(role_profiles(training, training, "Senior", ("version_id",), min_documents=1, max_share=1.0))
+    monkeypatch.setattr(kw, "WORDS_PER_BLOCK", 300)
+    more = frame(spark, [*rows, (None, "e1", "p1", ["all"]), ("none", "e1", "p1", None), ("empty", "e1", "p1", [])], schema)
+    scores = kw.score_documents(more, model, "version_id", "extracted_keywords")
+    found = {(r["version_id"], r["name"]): r["score"] for r in scores.join(more, "version_id").select(scores["*"]).collect()}
+    # by hand, from the stored weights
+    entries = model.profiles.collect()
+    idf = {e["keyword"]: e["idf"] for e in entries}
+    expected = {}
+    for version, _, _, words in rows:
+        raw = {w: words.count(w) * idf[w] for w in set(words) - {None}}
+        length = sum(x * x for x in raw.values()) ** 0.5
+        for e in entries:
+            if e["keyword"] in raw:
+                expected[version, e["name"]] = expected.get((version, e["name"]), 0) + raw[e["keyword"]] / length * e["weight"]
+    assert found == {k: pytest.approx(v) for k, v in expected.items()}
+    # only distinct keywords meet the model: no list of documents is made, and the documents are dealt out once
+    joined = scores.join(more.select("version_id"), "version_id")
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert "collect_list(struct(version_id" not in plan
+    dealt = [line for line in plan.splitlines() if "direct_shuffle_partition_id" in line]
+    assert sum("ReusedExchange" in line for line in dealt) == 1 and len(dealt) == 3
