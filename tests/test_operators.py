@@ -1,11 +1,13 @@
 import math
 import random
+import time
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from deskmatch.operators import keywords as kw
+from deskmatch.operators import scale
 from deskmatch.operators.latest import latest_import, latest_per_key, newest_import_rows
 from deskmatch.operators.median import exact_median
 from deskmatch.operators.membership import drop_own, keep_known_names, not_in
@@ -388,3 +390,17 @@ def test_documents_stay_in_their_blocks(spark, no_broadcast, monkeypatch):
     assert "collect_list(struct(version_id" not in plan
     dealt = [line for line in plan.splitlines() if "direct_shuffle_partition_id" in line]
     assert sum("ReusedExchange" in line for line in dealt) == 1 and len(dealt) == 3
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    def shuffled():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for name in blocks.mkString(" ").split() if name.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(scale.SHUFFLE_CLEANUP, "false")
+    counted = scale.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    until = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert counted.count() == 7 and spark.conf.get(scale.SHUFFLE_CLEANUP, "false") == setting
