@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from deskmatch.functions.tags import let
 from deskmatch.functions.text import stripped, without_outer_quotes
 
 # fixed values: the literature site and its article addresses
@@ -97,31 +98,30 @@ def term_items(term: Column | str) -> Column:
     ``part`` is ``exclude`` after NOT and ``include`` otherwise. The term is split at every
     operator, also inside a word, so operators and items alternate.
     """
-    pieces = F.split(F.regexp_replace(_col(term), "(OR|NOT|AND)", f"{_MARK}$1{_MARK}"), _MARK)
-
-    def item(piece, i):
-        text = stripped(piece)
-        before = F.when(i > 0, F.get(pieces, i - 1))
+    def item(text, before):
         named = F.regexp_extract(text, r"(?s)^[^\[]+\[(.*)\]", 1)
         field = F.lower(F.when(named == "", F.lit(DEFAULT_TERM_FIELD)).otherwise(named))
-        for alias, full in TERM_FIELD_ALIASES.items():
-            field = F.when(field == alias, F.lit(full)).otherwise(field)
+        aliases = F.create_map(*[F.lit(x) for pair in TERM_FIELD_ALIASES.items() for x in pair])
         value = without_outer_quotes(stripped(F.regexp_extract(text, r"^([^\[]+)", 1)))
         value = F.when(text.startswith("["), text).otherwise(value)
         part = F.when(before == "NOT", F.lit("exclude")).otherwise(F.lit("include"))
         return F.struct(
-            (i % 2 == 0).alias("is_item"), part.alias("part"), field.alias("field"), value.alias("value")
-        )
+            part.alias("part"), let(field, lambda f: F.coalesce(F.try_element_at(aliases, f), f)).alias("field"),
+            value.alias("value"))
 
-    items = F.filter(F.transform(pieces, item), lambda x: x["is_item"])
-    return F.transform(items, lambda x: F.struct(x["part"], x["field"], x["value"]))
+    def items(pieces):
+        # every second piece is an operator, the one before an item tells its part
+        at = F.sequence(F.lit(0), F.size(pieces) - 1, F.lit(2))
+        return F.transform(
+            at, lambda i: let(stripped(F.get(pieces, i)), lambda text: item(text, F.when(i > 0, F.get(pieces, i - 1)))))
+
+    pieces = F.split(F.regexp_replace(_col(term), "(OR|NOT|AND)", f"{_MARK}$1{_MARK}"), _MARK)
+    return let(pieces, lambda found: F.when(found.isNotNull(), items(found)))
 
 
 def parsed_term(term: Column | str) -> Column:
     """``struct<include: map<field, values>, exclude: map<field, values>>``; an unused part is null."""
-    items = term_items(term)
-
-    def values_by_field(part):
+    def values_by_field(items, part):
         mine = F.filter(items, lambda x: x["part"] == part)
         fields = F.array_distinct(F.transform(mine, lambda x: x["field"]))
         lists = F.transform(
@@ -129,10 +129,10 @@ def parsed_term(term: Column | str) -> Column:
         )
         return F.when(F.size(mine) > 0, F.map_from_arrays(fields, lists))
 
-    return F.when(
-        _col(term).isNotNull(),
-        F.struct(values_by_field("include").alias("include"), values_by_field("exclude").alias("exclude")),
-    )
+    def both(items):
+        return F.struct(values_by_field(items, "include").alias("include"), values_by_field(items, "exclude").alias("exclude"))
+
+    return F.when(_col(term).isNotNull(), let(term_items(term), both))
 
 
 def next_page_url(base_url: Column | str, href: Column | str) -> Column:

@@ -193,3 +193,16 @@ def test_query_values_whole_and_broken(value):
 
 def test_repeated_parameters_stay(value):
     assert value(links.next_page_url(F.lit("http://h/p?a=1&a=1&page=3&b=2&page=4&a=5&c="), F.lit("?page=9"))) == "http://h/p?a=1&a=1&a=5&page=9&b=2"
+
+
+def test_a_term_is_split_once_for_all_its_items(spark):
+    terms = spark.createDataFrame([("a[au] AND b[Auth] NOT [c] OR ", ), (None,), ("",)], "term string")
+    rows = terms.select(links.term_items("term").alias("items"), links.parsed_term("term").alias("parsed"))
+    found = [None if r["items"] is None else [tuple(i) for i in r["items"]] for r in rows.collect()]
+    assert found == [
+        [("include", "author", "a"), ("include", "author", "b"), ("exclude", "author", "[c]"), ("include", "author", "")],
+        None, [("include", "author", "")],
+    ]
+    for column in ("items", "parsed"):
+        plan = rows.select(column)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("OR|NOT|AND") == 1
