@@ -21,22 +21,21 @@ def final_targets(redirects: DataFrame) -> DataFrame:
 
     Of several targets of one address the least counts. Every round lets each address point to where its target
     points, so chains of any length take as many rounds as their length has binary digits. Addresses that run in a
-    circle, or into one, lead nowhere and are left out, as are null addresses and targets.
+    circle, or into one, lead nowhere and are left out, as are null addresses and targets. A round after which as many
+    addresses are open as before leaves circles only: a longer chain would have every shorter one in it. The table meets
+    itself by a merge join, as a broadcast would pass it through the driver in every round.
     """
     steps = materialise(
         redirects.filter(F.col("url").isNotNull() & F.col("target").isNotNull() & (F.col("url") != F.col("target")))
         .groupBy("url").agg(F.min("target").alias("target")), "redirects")
-    rounds, length = 0, steps.count()
+    left = None
     while True:
         further = steps.select(F.col("url").alias("target"), F.col("target").alias("_next"))
         steps = materialise(
-            steps.join(further, "target", "left").select(
+            steps.join(further.hint("merge"), "target", "left").select(
                 "url", F.coalesce("_next", "target").alias("target"), F.col("_next").isNotNull().alias("open")), "redirects")
-        rounds += 1
-        open_ = steps.filter("open")
-        if open_.isEmpty():
-            return steps.select("url", "target")
-        if 1 << (rounds - 1) > length:  # the round before has reached the end of any chain without a circle
+        before, left = left, steps.filter("open").count()
+        if left in (0, before):
             return steps.filter("not open").select("url", "target")
         steps = steps.drop("open")
 
@@ -61,7 +60,7 @@ def parsed_links(profiles: DataFrame, redirects: DataFrame | None = None) -> Dat
         own = links.is_literature_url("_url")
         key = spread_nulls(F.col("_url"), "person_id")  # profiles without address are spread out
         targets = targets.withColumnRenamed("_url", "_from")
-        table = table.withColumn("_key", key).join(targets, F.col("_key") == F.col("_from"), "left").withColumn(
+        table = table.withColumn("_key", key).join(targets.hint("merge"), F.col("_key") == F.col("_from"), "left").withColumn(
             "resolved_pubmed_url", F.when(own, F.col("_url")).otherwise(F.coalesce("_target", "_url"))
         ).drop("_url", "_target", "_key", "_from")
     term = F.nullif(links.search_term("resolved_pubmed_url"), F.lit(""))

@@ -451,3 +451,15 @@ def test_candidates_stay_dealt_by_paper(spark):
     assert "Aggregate" not in plan  # the earlier affiliations are read back, not counted on the way
     found = {(r["pmid"], r["author_position"]): r["has_matching_previous_affiliation"] for r in flagged.collect()}
     assert found == {("a", 0): True, ("a", 1): None, ("b", 0): True}
+
+
+def test_redirects_stop_when_only_circles_are_left(spark, monkeypatch):
+    stored, kept = [], harvest.materialise
+    monkeypatch.setattr(harvest, "materialise", lambda df, label: stored.append(df) or kept(df, label))
+    chains = [(f"u{i}-{j}", f"u{i}-{j + 1}") for i in range(40) for j in range(5)]
+    circles = [("a", "b"), ("b", "c"), ("c", "a"), ("into", "b"), ("x", "y"), ("y", "x")]
+    found = harvest.final_targets(frame(spark, chains + circles, "url string, target string"))
+    assert {tuple(r) for r in found.collect()} == {(url, f"{url.split('-')[0]}-5") for url, _ in chains}
+    # five steps take four rounds, one more shows that the rest are circles; nothing goes through the driver
+    assert len(stored) <= 1 + 5
+    assert all("BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString() for df in stored)
