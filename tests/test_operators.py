@@ -404,3 +404,13 @@ def test_shuffle_files_go_with_the_write_that_made_them(spark):
         time.sleep(0.2)
     assert not shuffled() - before
     assert counted.count() == 7 and spark.conf.get(scale.SHUFFLE_CLEANUP, "false") == setting
+
+
+def test_best_keyword_of_every_choice_without_lists(spark):
+    listed = choices(spark, [("n1", ["a", "b", "b"], [2.0, 1.0, 3.0]), ("n2", ["a", "c"], [1.0, 1.0]), ("n3", ["z"], [1.0])])
+    asked = frame(spark, [("q1", ["a", "b", "a"]), ("q2", ["c", "a"]), ("q3", None)], "q string, keywords array<string>")
+    every = {(r.q, r.value): (r.score, r.matching_keywords[0]) for r in kw.weighted_matches(asked, listed, "q", "value").collect()}
+    matches = kw.best_weighted_matches(asked, listed, "q", "value")
+    assert {(r.q, r.value): (r.score, *r.matching_keywords) for r in matches.collect()} == every
+    assert every["q2", "n2"] == (2.0, (1.0, "a")) and every["q1", "n1"][1] == (4.0, "a")
+    assert "collect_list" not in matches._jdf.queryExecution().executedPlan().toString()
