@@ -414,3 +414,35 @@ def test_best_keyword_of_every_choice_without_lists(spark):
     assert {(r.q, r.value): (r.score, *r.matching_keywords) for r in matches.collect()} == every
     assert every["q2", "n2"] == (2.0, (1.0, "a")) and every["q1", "n1"][1] == (4.0, "a")
     assert "collect_list" not in matches._jdf.queryExecution().executedPlan().toString()
+
+
+def test_explained_keywords_are_gathered_once_for_many_editors(spark, no_broadcast, monkeypatch):
+    rng = random.Random(8)
+    rows = [(f"v{i}", f"e{i % 9}", f"p{i % 9}", [f"k{rng.randrange(50)}" for _ in range(25)] + [None, "all"]) for i in range(70)]
+    schema = "version_id string, name string, person_id string, extracted_keywords array<string>"
+    training = frame(spark, rows, schema)
+    model = stored_model(role_profiles(training, training, "Senior", ("version_id",), min_documents=1, max_share=1.0))
+    more = frame(spark, [*rows, rows[3], (None, "e1", "p1", ["all"]), ("none", "e1", "p1", None)], schema)  # v3 comes twice
+    # by hand, from the stored weights: what comes twice has the same direction
+    entries = model.profiles.collect()
+    expected = {}
+    for version, _, _, words in rows:
+        raw = {e["keyword"]: words.count(e["keyword"]) * e["idf"] for e in entries if e["keyword"] in words}
+        length = sum(x * x for x in raw.values()) ** 0.5
+        for e in entries:
+            if e["keyword"] in raw:
+                expected.setdefault((version, e["name"]), {})[e["keyword"]] = raw[e["keyword"]] / length * e["weight"]
+    monkeypatch.setattr(kw, "EDITORS_PER_LIST", 4)
+    monkeypatch.setattr(kw, "LISTED_PER_BLOCK", 900)
+    scores = kw.score_documents(more, model, "version_id", "extracted_keywords")
+    for top in (1, None):
+        explained = kw.explain_matches(more, kw.rank_editors(scores, top=top), model, "version_id", "extracted_keywords")
+        found = explained.collect()
+        assert len(found) == (70 if top else len(expected))
+        for r in found:
+            assert {k["keyword"]: k["score"] for k in r["matching_keywords"]} == pytest.approx(expected[r["version_id"], r["name"]])
+            assert [(-round(k["score"], 12), k["keyword"]) for k in r["matching_keywords"]] == sorted(
+                (-round(k["score"], 12), k["keyword"]) for k in r["matching_keywords"])
+        # no row for each keyword of each pair, and no comparison by expressions
+        plan = explained._jdf.queryExecution().executedPlan().toString()
+        assert "inline(" not in plan and "explode(_gains" not in plan and "array_sort(" not in plan
