@@ -121,14 +121,15 @@ def _editor_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     papers = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
+    # an id begins with its order, so rows that are alike have the same order: they meet where the join has put them
     ids = papers.select(
-        _text("o_custkey").alias("person_id"),
+        "l_orderkey", _text("o_custkey").alias("person_id"),
         F.concat(F.lit("Customer "), _text("o_custkey")).alias("name"),
         F.lit(None).cast(
             "struct<include: struct<author: array<string>>, exclude: struct<author: array<string>>>"
         ).alias("parsed_search_term"),
         F.array(_pmid()).alias("pubmed_ids"),
-    ).distinct()
+    ).distinct().drop("l_orderkey")
     return profiles, ids, persons
 
 
@@ -141,7 +142,11 @@ def _summaries(spark, sf_dir) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").join(
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     ).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    # dealt by paper before the rows grow wide; rows that are alike are of the same paper
+    rows = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        _pmid().alias("pmid"), "l_returnflag", "l_linestatus", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate",
+        "s_nationkey", "n_name", "r_name",
+    ).repartition("pmid")
 
     def author(first, last, kind, value, *affiliations):
         return F.struct(
@@ -165,7 +170,7 @@ def _summaries(spark, sf_dir) -> DataFrame:
         ),
     )
     return rows.select(
-        _pmid().alias("pmid"), F.lit(None).cast("string").alias("doi"), F.lit("t").alias("title"),
+        "pmid", F.lit(None).cast("string").alias("doi"), F.lit("t").alias("title"),
         F.lit("2020-01-01").alias("firstPublicationDate"), F.lit("a").alias("authorString"),
         F.struct(authors.alias("author")).alias("authorList"),
         F.struct(F.col("l_shipdate").cast("timestamp").alias("imported_timestamp")).alias("provenance"),

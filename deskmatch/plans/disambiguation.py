@@ -72,30 +72,41 @@ def _author(author: Column) -> list[Column]:
     ]
 
 
-def paper_authors(summaries: DataFrame) -> DataFrame:
-    """One row per paper row and listed author, with the author's position."""
-    names = F.transform(
-        "authorList.author", lambda a: F.trim(F.concat(a["firstName"], F.lit(" "), a["lastName"]))
-    )
+def _papers(summaries: DataFrame) -> DataFrame:
+    """One row per paper row with its authors as they are listed."""
     return summaries.select(
         "pmid", F.col("provenance.imported_timestamp").alias("paper_imported"), "doi", "title",
         F.to_date("firstPublicationDate").alias("first_publication_date"),
-        F.col("authorString").alias("author_string"),
-        joined(names, "; ").alias("first_last_name_author_string"),
-        F.posexplode_outer("authorList.author").alias("author_position", "_author"),
+        F.col("authorString").alias("author_string"), F.col("authorList.author").alias("_authors"),
+    )
+
+
+def _each_author(papers: DataFrame) -> DataFrame:
+    names = F.transform("_authors", lambda a: F.trim(F.concat(a["firstName"], F.lit(" "), a["lastName"])))
+    return papers.select(
+        *[c for c in papers.columns if c != "_authors"], joined(names, "; ").alias("first_last_name_author_string"),
+        F.posexplode_outer("_authors").alias("author_position", "_author"),
     ).select("*", *_author(F.col("_author"))).drop("_author")
 
 
+def paper_authors(summaries: DataFrame) -> DataFrame:
+    """One row per paper row and listed author, with the author's position."""
+    return _each_author(_papers(summaries))
+
+
 def affiliation_history(authors: DataFrame) -> DataFrame:
     """Distinct (author_orcid, affiliation_string) over all papers; authors without ORCID have no history."""
     known = F.col("author_orcid").isNotNull() & F.col("affiliation_string").isNotNull()
     return authors.filter(known).select("author_orcid", "affiliation_string").distinct()
 
 
+def _found_papers(editors: DataFrame) -> DataFrame:
+    return editors.withColumn("pmid", F.explode("pubmed_ids")).drop("pubmed_ids")
+
+
 def author_candidates(editors: DataFrame, authors: DataFrame) -> DataFrame:
     """Editor columns with every author of each paper found for the editor."""
-    papers = editors.withColumn("pmid", F.explode("pubmed_ids")).drop("pubmed_ids")
-    return papers.join(authors, "pmid")
+    return _found_papers(editors).join(authors, "pmid")
 
 
 def flag_candidates(candidates: DataFrame, history: DataFrame) -> DataFrame:
@@ -177,10 +188,11 @@ def paper_details(
     if dedupe:
         pubmed_ids = newest_import_rows(pubmed_ids, ["person_id"])
         summaries = latest_import(summaries, ["pmid"], "doi")
-    authors = paper_authors(summaries)
-    candidates = author_candidates(enriched_editors(profiles, pubmed_ids, persons), authors)
+    # papers meet their editors as one row each, and their authors are listed after that: they are not moved one by one
+    found = _found_papers(enriched_editors(profiles, pubmed_ids, persons)).join(_papers(summaries), "pmid")
+    candidates = _each_author(found)
     key = ("person_id", "role_name", "pmid", "paper_imported")
-    return best_candidates(flag_candidates(candidates, affiliation_history(authors)), key).drop("paper_imported")
+    return best_candidates(flag_candidates(candidates, affiliation_history(paper_authors(summaries))), key).drop("paper_imported")
 
 
 def priority() -> Column:

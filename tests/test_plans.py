@@ -463,3 +463,10 @@ def test_redirects_stop_when_only_circles_are_left(spark, monkeypatch):
     # five steps take four rounds, one more shows that the rest are circles; nothing goes through the driver
     assert len(stored) <= 1 + 5
     assert all("BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString() for df in stored)
+
+
+def test_authors_are_listed_after_papers_met_their_editors(spark, paper_tables):
+    details = dis.paper_details(*paper_tables)
+    plan = details._jdf.queryExecution().optimizedPlan().toString()
+    # below the join a paper is one row, however many authors it has
+    assert plan.index("posexplode") < plan.index("Join Inner") and plan.count("posexplode") == 1
