@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -470,3 +471,48 @@ def test_authors_are_listed_after_papers_met_their_editors(spark, paper_tables):
     plan = details._jdf.queryExecution().optimizedPlan().toString()
     # below the join a paper is one row, however many authors it has
     assert plan.index("posexplode") < plan.index("Join Inner") and plan.count("posexplode") == 1
+
+
+def test_stream_holds_one_batch_on_disk_and_none_in_memory(spark, tmp_path, monkeypatch):
+    trained = frame(spark, [(f"n{i % 2}", f"p{i % 2}", ["a", f"w{i % 2}"], i) for i in range(20)],
+                    "name string, person_id string, extracted_keywords array<string>, i int")
+    model = stored_model(role_profiles_for(trained))
+    source, log, rejected, checkpoint = (str(tmp_path / n) for n in ("in", "log", "rejected", "checkpoint"))
+    rows = [(f"r{i}", request() if i % 3 else "{}", [f"w{i % 2}"], NOW) for i in range(12)]
+    frame(spark, rows, scoring.REQUEST_FILE).repartition(4).write.json(source)
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    kept, seen, scored = scoring.score_batch, [], scoring.req.recommended_editors
+
+    def looked(*args):
+        seen.append(len(spark.sparkContext._jsc.getPersistentRDDs()))
+        return scored(*args)
+
+    held = []
+    monkeypatch.setattr(scoring.req, "recommended_editors", looked)
+    monkeypatch.setattr(scoring, "score_batch", lambda *args: held.append(args[6]) or kept(*args))
+
+    def shuffled():
+        return {x for x in blocks.diskBlockManager().getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+
+    before = shuffled()
+    scoring.start_scoring(scoring.read_requests(spark, source, files_per_batch=1), model, stats_row(spark), log, rejected,
+                          checkpoint).awaitTermination()
+    assert len(seen) >= 3 and not any(seen)
+    until = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    # every batch uses the same folder, and at the end no request is left in it
+    assert len(set(held)) == 1 and spark.read.parquet(held[0]).count() == 0
+    assert {r["request_id"] for r in spark.read.parquet(log).collect()} == {f"r{i}" for i in range(12) if i % 3}
+    assert {r["request_id"] for r in spark.read.parquet(rejected).collect()} == {f"r{i}" for i in range(0, 12, 3)}
+
+
+def test_more_requests_make_more_batches_of_the_same_size(spark, tmp_path, monkeypatch):
+    from checks import landing
+
+    monkeypatch.setattr(landing, "REQUESTS_PER_FILE", 10)
+    spark.range(95).write.parquet(str(tmp_path / "documents.parquet"))
+    assert landing._request_files(spark, str(tmp_path), 3) == 10 and landing._request_files(spark, str(tmp_path), 2, 3) == 4
+    monkeypatch.setattr(landing, "REQUESTS_PER_FILE", 1000)
+    assert landing._request_files(spark, str(tmp_path), 3) == 3
