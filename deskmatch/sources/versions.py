@@ -8,6 +8,7 @@ write brings new columns or new fields inside old ones: files without them read
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -125,7 +126,9 @@ class VersionedTable:
             version = self.version() + 1
             if action != _REPLACE and version > 1:  # another writer may have brought fields meanwhile
                 schema = merge_schemas(self.schema(), schema)
-            entry = [(version, uuid.uuid4().hex, action, name, rows, list(keys), schema.json())]
+            # ids grow with time: a writer that comes later does not take the version of one that has already returned
+            mark = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+            entry = [(version, mark, action, name, rows, list(keys), schema.json())]
             self.spark.createDataFrame(entry, _LOG).coalesce(1).write.mode("append").json(f"{self.folder}/log")
             if any(e.folder == name for e in self.log()):
                 return
